@@ -14,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.functions.jsonfns import decode_messages, encode_messages
 from shopstream.functions.timefns import utc_wall_clock
-from shopstream.operators.windows import window_stats
+from shopstream.operators import daily
+from shopstream.operators.windows import window_stats, with_event_time
 from shopstream.plans import oracle
 from shopstream.sources.events import load_behavior
 
@@ -36,10 +38,57 @@ def q_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz_windows(window_stats(load_behavior(spark, sf_dir)))
 
 
+def q_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time derived from epoch milliseconds, whole seconds."""
+    timed = with_event_time(load_behavior(spark, sf_dir))
+    return timed.select(
+        "user_id", "behavior_type", "timestamp", utc_wall_clock("event_time").alias("event_time")
+    )
+
+
+def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behavior rows encoded as JSON messages and decoded with the fixed schema."""
+    return decode_messages(encode_messages(load_behavior(spark, sf_dir)))
+
+
+def q_daily_total_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.total_sales(load_behavior(spark, sf_dir))
+
+
+def q_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.top_products(load_behavior(spark, sf_dir))
+
+
+def q_behavior_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.behavior_funnel(load_behavior(spark, sf_dir))
+
+
+def q_category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.category_sales(load_behavior(spark, sf_dir))
+
+
+def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.daily_report(load_behavior(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "window_stats": q_window_stats,
+    "event_time": q_event_time,
+    "json_roundtrip": q_json_roundtrip,
+    "daily_total_sales": q_daily_total_sales,
+    "top_products": q_top_products,
+    "behavior_funnel": q_behavior_funnel,
+    "category_sales": q_category_sales,
+    "daily_report": q_daily_report,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "window_stats": oracle.WINDOW_STATS,
+    "event_time": oracle.EVENT_TIME,
+    "json_roundtrip": oracle.JSON_ROUNDTRIP,
+    "daily_total_sales": oracle.DAILY_TOTAL_SALES,
+    "top_products": oracle.TOP_PRODUCTS,
+    "behavior_funnel": oracle.BEHAVIOR_FUNNEL,
+    "category_sales": oracle.CATEGORY_SALES,
+    "daily_report": oracle.DAILY_REPORT,
 }
