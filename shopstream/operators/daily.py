@@ -108,38 +108,29 @@ def category_sales(behavior: DataFrame, day_by: str = "event", sort: bool = True
 def daily_report(behavior: DataFrame, day_by: str = "event") -> DataFrame:
     """One ``daily_reports`` row per day present in the input.
 
-    One scan feeds a grouping-sets aggregate with two sets:
-    (day, type, user) for the distinct users per type, and (day, item) for item
-    sales. Both are map-side combined, so a hot user or item costs one row per
-    task. Everything after that exchange is per-day sized: totals, top 3 and
-    the user counts are combined by a union and one aggregate keyed by day
-    instead of joins, so nothing is broadcast and no side needs a size check.
+    Two aggregates read the input: distinct (day, type, user) for the users per
+    type, and (day, item) sales over buy rows (the buy filter reaches the scan
+    of a warehouse table). Both are map-side combined, so a hot user or item
+    costs one row per task. Everything after those exchanges is per-day sized:
+    totals, top 3 and the user counts are combined by a union and one aggregate
+    keyed by day instead of joins, so nothing is broadcast and no side needs a
+    size check. Item sales feed both totals and the top 3; Spark reuses that
+    exchange rather than computing it twice.
     """
-    days = with_report_date(behavior, day_by).select(
-        "report_date", "behavior_type", "user_id", "item_id", "amount"
-    )
-    grouped = days.groupingSets(
-        [["report_date", "behavior_type", "user_id"], ["report_date", "item_id"]],
-        "report_date", "behavior_type", "user_id", "item_id",
-    ).agg(
-        F.grouping("item_id").alias("user_set"),
-        F.count_if(_is_buy()).alias("buys"),
-        F.sum(_buy_amount()).alias("sales"),
-    )
-
-    users = grouped.where(F.col("user_set") == 1)
+    days = with_report_date(behavior, day_by)
     has_user = F.col("user_id").isNotNull()
 
     def uv(kind: str) -> Column:
         return F.count_if(has_user & (F.col("behavior_type") == F.lit(kind)))
 
-    user_counts = users.groupBy("report_date").agg(
-        uv(CLICK).alias("click_uv"), uv(CART).alias("cart_uv"), uv(BUY).alias("buy_uv")
+    user_counts = (
+        days.select("report_date", "behavior_type", "user_id")
+        .distinct()
+        .groupBy("report_date")
+        .agg(uv(CLICK).alias("click_uv"), uv(CART).alias("cart_uv"), uv(BUY).alias("buy_uv"))
     )
 
-    items = grouped.where((F.col("user_set") == 0) & (F.col("buys") > 0)).select(
-        "report_date", "item_id", "sales"
-    )
+    items = item_sales(days)
     totals = items.groupBy("report_date").agg(F.sum("sales").alias("total_sales"))
     ranked = items.withColumn("rank", _rank_by_sales("item_id")).where(
         F.col("rank") <= REPORT_TOP
@@ -153,7 +144,7 @@ def daily_report(behavior: DataFrame, day_by: str = "event") -> DataFrame:
                 F.max(F.when(F.col("rank") == i, F.col("item_id"))).alias(f"top{i}_product"),
                 F.max(F.when(F.col("rank") == i, F.col("sales"))).alias(f"top{i}_sales"),
             )
-        ]
+        ],
     )
 
     parts = user_counts.unionByName(totals, allowMissingColumns=True).unionByName(

@@ -18,7 +18,11 @@ from shopstream.functions.jsonfns import decode_messages, encode_messages
 from shopstream.functions.timefns import utc_wall_clock
 from shopstream.operators import daily
 from shopstream.operators.windows import window_stats, with_event_time
-from shopstream.plans import oracle
+from shopstream.functions.timefns import event_time, utc_day
+from shopstream.plans import oracle, serving
+from shopstream.schema import BEHAVIOR_COLUMNS
+from shopstream.session import scratch_path
+from shopstream.sources import files
 from shopstream.sources.events import load_behavior
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +75,54 @@ def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_report(load_behavior(spark, sf_dir))
 
 
+def q_window_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same windows with the approximate (HyperLogLog) uv the stream uses."""
+    return _ntz_windows(window_stats(load_behavior(spark, sf_dir), exact_uv=False))
+
+
+def q_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dashboard view: the last 30 windows, oldest first, labelled HH:mm-HH:mm."""
+    return serving.latest_windows(q_window_stats(spark, sf_dir))
+
+
+def q_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dashboard view: the last 30 daily reports, oldest first, formatted."""
+    return serving.daily_series(q_daily_report(spark, sf_dir))
+
+
+def q_funnel_last7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dashboard view: users per step over the last 7 days."""
+    return serving.funnel_last(q_daily_report(spark, sf_dir))
+
+
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behavior rows written to the dt-partitioned warehouse and read back."""
+    behavior = load_behavior(spark, sf_dir)
+    base = scratch_path(spark, "warehouse")
+    files.write_warehouse(
+        behavior.withColumn("dt", F.date_format(utc_day(event_time("timestamp")), "yyyy-MM-dd")),
+        base,
+    )
+    return files.read_warehouse(spark, base).select(*BEHAVIOR_COLUMNS, "dt")
+
+
+def q_raw_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed as JSON lines under dt/hour, scanned with the fixed schema.
+
+    The test tables have no arrival clock, so event time picks the directory.
+    """
+    from shopstream.functions.jsonfns import message_json
+
+    behavior = load_behavior(spark, sf_dir)
+    base = scratch_path(spark, "landing")
+    files.write_raw_landing(
+        behavior.select(message_json().alias("value"), "timestamp"),
+        base,
+        arrival=event_time("timestamp"),
+    )
+    return files.read_raw_landing(spark, base)
+
+
 QUERIES: dict[str, Query] = {
     "window_stats": q_window_stats,
     "event_time": q_event_time,
@@ -80,6 +132,12 @@ QUERIES: dict[str, Query] = {
     "behavior_funnel": q_behavior_funnel,
     "category_sales": q_category_sales,
     "daily_report": q_daily_report,
+    "window_stats_approx": q_window_stats_approx,
+    "latest_windows": q_latest_windows,
+    "daily_series": q_daily_series,
+    "funnel_last7": q_funnel_last7,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "raw_landing_scan": q_raw_landing_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -91,4 +149,9 @@ ORACLE_SQL: dict[str, str] = {
     "behavior_funnel": oracle.BEHAVIOR_FUNNEL,
     "category_sales": oracle.CATEGORY_SALES,
     "daily_report": oracle.DAILY_REPORT,
+    "latest_windows": oracle.LATEST_WINDOWS,
+    "daily_series": oracle.DAILY_SERIES,
+    "funnel_last7": oracle.FUNNEL_LAST7,
+    "parquet_roundtrip": oracle.PARQUET_ROUNDTRIP,
+    "raw_landing_scan": oracle.RAW_LANDING_SCAN,
 }
