@@ -96,7 +96,7 @@ def window_aggregates(exact_uv: bool):
     ]
 
 
-def _flatten(windowed: DataFrame) -> DataFrame:
+def flatten_windows(windowed: DataFrame) -> DataFrame:
     return windowed.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -110,7 +110,7 @@ def _expand_window_stats(behavior: DataFrame, size: str, slide: str, exact_uv: b
     windowed = behavior.groupBy(F.window("event_time", size, slide).alias("window")).agg(
         *window_aggregates(exact_uv)
     )
-    return _flatten(windowed)
+    return flatten_windows(windowed)
 
 
 def _pane_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFrame:

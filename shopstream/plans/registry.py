@@ -20,10 +20,16 @@ from shopstream.operators import daily
 from shopstream.operators.windows import window_stats, with_event_time
 from shopstream.functions.timefns import event_time, utc_day
 from shopstream.plans import oracle, serving
-from shopstream.schema import BEHAVIOR_COLUMNS
+from shopstream.schema import BEHAVIOR_COLUMNS, DAILY_KEYS
 from shopstream.session import scratch_path
 from shopstream.sources import files
 from shopstream.sources.events import load_behavior
+from shopstream.sources.tables import upsert_files
+from shopstream.streaming.realtime import (
+    read_message_stream,
+    realtime_table_sink,
+    start_realtime_stats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +129,61 @@ def q_raw_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_raw_landing(spark, base)
 
 
+def _message_files(spark: SparkSession, sf_dir: str) -> str:
+    """Behavior rows written as JSON-lines message files (a stream's input)."""
+    src = scratch_path(spark, "messages")
+    encode_messages(load_behavior(spark, sf_dir)).write.text(src)
+    return src
+
+
+def _run_stream(spark: SparkSession, src: str, table: str, mode: str) -> None:
+    query = start_realtime_stats(
+        read_message_stream(spark, path=src),
+        realtime_table_sink(table),
+        scratch_path(spark, "stream-ckpt"),
+        mode=mode,
+        available_now=True,
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _stream_result(spark: SparkSession, table: str) -> DataFrame:
+    # uv is approximate in a stream; the windows, pv and sales are exact.
+    return _ntz_windows(spark.read.parquet(table)).select("window_start", "window_end", "pv", "sales")
+
+
+def q_stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The realtime job on a file stream: watermark, hop windows, complete mode,
+    foreachBatch upsert into the serving table."""
+    src = _message_files(spark, sf_dir)
+    table = scratch_path(spark, "realtime-stats")
+    _run_stream(spark, src, table, "complete")
+    return _stream_result(spark, table)
+
+
+def q_realtime_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The realtime job in update mode, run twice over the same input into the
+    same table: the keyed upsert keeps one row per window."""
+    src = _message_files(spark, sf_dir)
+    table = scratch_path(spark, "realtime-stats")
+    _run_stream(spark, src, table, "update")
+    _run_stream(spark, src, table, "update")
+    return _stream_result(spark, table)
+
+
+def q_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily reports upserted into the serving table twice (re-run of a day)."""
+    report = q_daily_report(spark, sf_dir).withColumn(
+        "report_month", F.date_format("report_date", "yyyy-MM")
+    )
+    table = scratch_path(spark, "daily-reports")
+    upsert_files(report, table, DAILY_KEYS, "report_month")
+    upsert_files(report, table, DAILY_KEYS, "report_month")
+    return spark.read.parquet(table).drop("report_month")
+
+
 QUERIES: dict[str, Query] = {
     "window_stats": q_window_stats,
     "event_time": q_event_time,
@@ -138,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "funnel_last7": q_funnel_last7,
     "parquet_roundtrip": q_parquet_roundtrip,
     "raw_landing_scan": q_raw_landing_scan,
+    "stream_window_stats": q_stream_window_stats,
+    "realtime_upsert": q_realtime_upsert,
+    "daily_upsert": q_daily_upsert,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -154,4 +218,7 @@ ORACLE_SQL: dict[str, str] = {
     "funnel_last7": oracle.FUNNEL_LAST7,
     "parquet_roundtrip": oracle.PARQUET_ROUNDTRIP,
     "raw_landing_scan": oracle.RAW_LANDING_SCAN,
+    "stream_window_stats": oracle.WINDOW_STATS_NO_UV,
+    "realtime_upsert": oracle.WINDOW_STATS_NO_UV,
+    "daily_upsert": oracle.DAILY_REPORT,
 }
