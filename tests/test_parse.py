@@ -1,0 +1,77 @@
+"""Message decoding and event time (permissive parsing matrix)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import SAMPLE_MESSAGES, messages_df
+from shopstream.functions.jsonfns import decode_messages, encode_messages
+from shopstream.functions.timefns import event_time, ntz_epoch_millis, utc_wall_clock
+from shopstream.schema import BEHAVIOR_COLUMNS
+
+UTC = dt.timezone.utc
+
+
+def test_sample_messages_decode(spark):
+    out = decode_messages(messages_df(spark, SAMPLE_MESSAGES)).collect()
+    assert [c for c in out[0].asDict()] == BEHAVIOR_COLUMNS
+    assert out[0].user_id == "u_1001" and out[0].amount == 0.0 and out[0].quantity == 0
+    assert out[2].behavior_type == "buy" and out[2].amount == 99.9 and out[2].quantity == 2
+    assert out[4].timestamp == 1700000004000
+
+
+def test_wrong_field_types_null_only_that_field(spark):
+    lines = [
+        '{"user_id":"u_1","amount":"99","quantity":1,"timestamp":5}',
+        '{"user_id":"u_2","amount":1.5,"quantity":1.5,"timestamp":5}',
+        '{"user_id":"u_3","amount":2.0,"quantity":1,"timestamp":"7"}',
+        '{"user_id":7,"behavior_type":"buy"}',
+        '{"user_id":"u_4","unknown_field":1}',
+    ]
+    out = decode_messages(messages_df(spark, lines)).collect()
+    assert out[0].amount is None and out[0].user_id == "u_1" and out[0].quantity == 1
+    assert out[1].quantity is None and out[1].amount == 1.5
+    assert out[2].timestamp is None and out[2].amount == 2.0
+    assert out[3].user_id == "7" and out[3].behavior_type == "buy"
+    assert out[4].user_id == "u_4" and out[4].item_id is None
+
+
+def test_garbage_empty_null_message_is_all_null(spark):
+    df = spark.createDataFrame([("garbage",), ("",), (None,)], "value string")
+    for r in decode_messages(df).collect():
+        assert all(v is None for v in r)
+
+
+def test_binary_value_decodes(spark):
+    df = messages_df(spark, SAMPLE_MESSAGES[:1]).select(F.col("value").cast("binary").alias("value"))
+    assert decode_messages(df).first().user_id == "u_1001"
+
+
+def test_encode_decode_roundtrip(spark):
+    src = decode_messages(messages_df(spark, SAMPLE_MESSAGES))
+    back = decode_messages(encode_messages(src))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_event_time_truncates_to_seconds(spark):
+    df = spark.createDataFrame([(1700000000999,), (-1,), (None,), (1700000000000,)], "timestamp long")
+    out = df.select(event_time("timestamp").alias("t")).collect()
+    assert out[0].t.astimezone(UTC) == dt.datetime(2023, 11, 14, 22, 13, 20, tzinfo=UTC)
+    assert out[1].t.astimezone(UTC) == dt.datetime(1970, 1, 1, tzinfo=UTC)
+    assert out[2].t is None
+    assert out[3].t.astimezone(UTC) == dt.datetime(2023, 11, 14, 22, 13, 20, tzinfo=UTC)
+
+
+def test_time_helpers_ignore_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:15.123456' AS ts")
+        r = df.select(ntz_epoch_millis("ts").alias("ms")).first()
+        assert r.ms == 1710037815123
+        r2 = df.select(utc_wall_clock(event_time(ntz_epoch_millis("ts"))).alias("w")).first()
+        assert r2.w == dt.datetime(2024, 3, 10, 2, 30, 15)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
