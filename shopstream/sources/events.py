@@ -27,11 +27,17 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def behavior_from_events(events: DataFrame) -> DataFrame:
     """One behavior row per event, in the 8-column message shape."""
-    k = F.from_json(F.col("props"), "k BIGINT").getField("k")
     mapping = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_TO_BEHAVIOR.items() for x in kv])
-    behavior_type = F.coalesce(mapping[F.col("event_type")], F.col("event_type"))
+    # Parse props once; item and category both derive from k.
+    keyed = events.select(
+        "user_id", "ts", "value",
+        F.from_json(F.col("props"), "k BIGINT").getField("k").alias("k"),
+        F.coalesce(mapping[F.col("event_type")], F.col("event_type")).alias("behavior_type"),
+    )
+    k = F.col("k")
+    behavior_type = F.col("behavior_type")
     is_buy = behavior_type == F.lit(BUY)
-    out = events.select(
+    out = keyed.select(
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("i_"), k.cast("string")).alias("item_id"),
         F.concat(F.lit("c_"), (k % 10).cast("string")).alias("category_id"),

@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.session import scratch_path
+from shopstream.session import checkpoint_root, scratch_path
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -57,41 +57,66 @@ def upsert_files(
     path: str,
     keys: Sequence[str],
     partition_col: str,
+    batch_id: int | None = None,
 ) -> None:
     """Merge ``updates`` into the Parquet table at ``path`` by ``keys``.
 
     ``partition_col`` must be a column of ``updates`` and a function of the
     keys (for example the day of ``window_start``), so a key never moves
-    between partitions.
+    between partitions. The serving tables hold few rows per partition (one
+    per window or per day), so each touched partition is written by one task.
+
+    With a ``batch_id`` (streaming), the merged partitions are staged under a
+    directory named after the table and the batch. If the job dies while the
+    staged partitions are being swapped in, the replay of that batch finds the
+    complete staging copy and only repeats the swap, so no partition is lost.
     """
     spark = updates.sparkSession
-    updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The set of touched partitions is small (days in one batch).
-        touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
-        if not touched:
-            return
-        existing = read_table(spark, path)
-        if existing is None:
-            merged = updates
-        else:
-            old = existing.where(F.col(partition_col).isin(touched))
-            kept = old.join(updates.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(updates.select(*existing.columns))
-        staging = scratch_path(spark, "upsert-staging")
+    staging = (
+        f"{checkpoint_root(spark)}/shopstream/upsert/{_table_tag(path)}/batch-{batch_id}"
+        if batch_id is not None
+        else scratch_path(spark, "upsert-staging")
+    )
+    if batch_id is None or not path_exists(spark, f"{staging}/_SUCCESS"):
+        if batch_id is not None:
+            delete_path(spark, staging)          # a partial earlier attempt
+        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+            # The set of touched partitions is small (days in one batch).
+            touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
+            if not touched:
+                return
+            existing = read_table(spark, path)
+            if existing is None:
+                merged = updates
+            else:
+                old = existing.where(F.col(partition_col).isin(touched))
+                kept = old.join(updates.select(*keys), list(keys), "left_anti")
+                merged = kept.unionByName(updates.select(*existing.columns))
             (
-                spark.read.parquet(staging)
+                merged.repartition(partition_col)
                 .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(partition_col)
-                .parquet(path)
+                .parquet(staging)
             )
         finally:
-            delete_path(spark, staging)
+            updates.unpersist()
+    try:
+        (
+            spark.read.parquet(staging)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col)
+            .parquet(path)
+        )
     finally:
-        updates.unpersist()
+        delete_path(spark, staging)
+
+
+def _table_tag(path: str) -> str:
+    import hashlib
+
+    return hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
 def _quote(name: str, dialect: str) -> str:

@@ -108,13 +108,12 @@ def realtime_table_sink(path: str) -> BatchSink:
     partitioned by the UTC day of ``window_start``."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         upsert_files(
             batch.withColumn("window_day", utc_day("window_start")),
             path,
             REALTIME_KEYS,
             "window_day",
+            batch_id=batch_id,
         )
 
     return sink

@@ -88,3 +88,24 @@ def test_merge_statement_text():
     assert 'INSERT ("report_date", "total_sales") VALUES (s."report_date", s."total_sales")' in sql
     mysql = merge_statement("t", "s", ["a", "b"], ["a"], dialect="mysql")
     assert mysql == "REPLACE INTO t (`a`, `b`) SELECT `a`, `b` FROM s"
+
+
+def test_replayed_batch_finishes_interrupted_swap(spark):
+    from shopstream.session import checkpoint_root
+    from shopstream.sources.tables import _table_tag, delete_path
+
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    t1 = dt.datetime(2024, 1, 2, 10, 0)
+    five = dt.timedelta(minutes=5)
+    path = scratch_path(spark, "t-replay")
+    upsert_files(_stats(spark, [(t0, t0 + five, 1, 1, 1.0), (t0 + five, t0 + 2 * five, 4, 4, 4.0),
+                                (t1, t1 + five, 2, 2, 2.0)]), path, REALTIME_KEYS, "window_day")
+    batch = _stats(spark, [(t0, t0 + five, 9, 9, 9.0)])
+    # A crash after staging batch 7 and after deleting day 1 from the table:
+    staging = f"{checkpoint_root(spark)}/shopstream/upsert/{_table_tag(path)}/batch-7"
+    merged = _stats(spark, [(t0, t0 + five, 9, 9, 9.0), (t0 + five, t0 + 2 * five, 4, 4, 4.0)])
+    merged.write.partitionBy("window_day").parquet(staging)
+    delete_path(spark, f"{path}/window_day=2024-01-01")
+    upsert_files(batch, path, REALTIME_KEYS, "window_day", batch_id=7)
+    got = {r.window_start: r.pv for r in spark.read.parquet(path).collect()}
+    assert got == {t0: 9, t0 + five: 4, t1: 2}
