@@ -31,3 +31,19 @@ def encode_messages(behavior: DataFrame, value_col: str = "value") -> DataFrame:
 
 def message_json() -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in BEHAVIOR_COLUMNS]))
+
+
+def publish_messages(behavior: DataFrame, bootstrap_servers: str, topic: str,
+                     kafka_options: dict[str, str] | None = None) -> None:
+    """Encode behavior rows and write them to a Kafka topic (batch).
+
+    Needs the Kafka connector on the classpath.
+    """
+    writer = (
+        encode_messages(behavior).write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+    )
+    for k, v in (kafka_options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()

@@ -184,6 +184,23 @@ def q_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).drop("report_month")
 
 
+def q_daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole nightly job over every landed day: landing JSON -> warehouse
+    Parquet -> report -> upsert; returns the upserted report table."""
+    from shopstream.functions.jsonfns import message_json
+    from shopstream.plans.jobs import run_daily
+
+    landing = scratch_path(spark, "job-landing")
+    files.write_raw_landing(
+        load_behavior(spark, sf_dir).select(message_json().alias("value"), "timestamp"),
+        landing,
+        arrival=event_time("timestamp"),
+    )
+    reports = scratch_path(spark, "job-reports")
+    run_daily(spark, landing, scratch_path(spark, "job-warehouse"), reports, dates=None)
+    return spark.read.parquet(reports).drop("report_month")
+
+
 QUERIES: dict[str, Query] = {
     "window_stats": q_window_stats,
     "event_time": q_event_time,
@@ -202,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "stream_window_stats": q_stream_window_stats,
     "realtime_upsert": q_realtime_upsert,
     "daily_upsert": q_daily_upsert,
+    "daily_job": q_daily_job,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -221,4 +239,5 @@ ORACLE_SQL: dict[str, str] = {
     "stream_window_stats": oracle.WINDOW_STATS_NO_UV,
     "realtime_upsert": oracle.WINDOW_STATS_NO_UV,
     "daily_upsert": oracle.DAILY_REPORT,
+    "daily_job": oracle.DAILY_REPORT,
 }

@@ -22,6 +22,11 @@ from shopstream.schema import BEHAVIOR
 LANDING_SUFFIX = "*.txt"   # Spark's text writer names files part-*.txt
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(value) if value.isdigit() else spark.sparkContext.defaultParallelism
+
+
 def _day_filter(df: DataFrame, dates: Iterable[str] | None) -> DataFrame:
     if dates is None:
         return df
@@ -35,12 +40,26 @@ def write_raw_landing(messages: DataFrame, base: str, arrival: Column | None = N
     ``messages`` has a string or binary ``value``; ``arrival`` is the instant
     that picks the directory (default: now, once for the whole write). The
     directory names are the UTC date and hour of that instant.
+
+    With a per-row ``arrival`` the rows are first range-partitioned by it, so
+    each task covers one stretch of time: the write makes about one file per
+    task and hour instead of one per task for every hour, and a busy hour is
+    split over several tasks by the sampled range bounds.
     """
     at = utc_wall_clock(arrival if arrival is not None else F.current_timestamp())
     out = messages.select(
         F.col("value").cast("string").alias("value"),
-        F.date_format(at, "yyyy-MM-dd").alias("dt"),
-        F.date_format(at, "HH").alias("hour"),
+        at.alias("_at"),
+    )
+    if arrival is not None:
+        # An explicit count: AQE would otherwise merge a small compressed
+        # shuffle into one task, which then writes every directory alone.
+        spark = messages.sparkSession
+        out = out.repartitionByRange(shuffle_partitions(spark), "_at")
+    out = out.select(
+        "value",
+        F.date_format("_at", "yyyy-MM-dd").alias("dt"),
+        F.date_format("_at", "HH").alias("hour"),
     )
     out.write.mode("append").partitionBy("dt", "hour").text(base)
 

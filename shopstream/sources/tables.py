@@ -194,3 +194,15 @@ def upsert_jdbc(
             stmt.close()
     finally:
         conn.close()
+
+
+def read_serving_jdbc(spark: SparkSession, url: str, table: str,
+                      properties: dict[str, str] | None = None) -> DataFrame:
+    """A serving table from a relational store, for the ``serving`` views."""
+    return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(
+        **(properties or {})).load()
+
+
+def read_serving_files(spark: SparkSession, path: str) -> DataFrame:
+    """A serving table kept as Parquet by ``upsert_files``."""
+    return spark.read.parquet(path)
