@@ -75,10 +75,10 @@ def window_stats(
     Returns ``window_start, window_end`` (TIMESTAMP), ``pv, uv`` (long),
     ``sales`` (double).
     """
-    if "event_time" not in behavior.columns:
-        behavior = with_event_time(behavior)
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
     if not exact_uv or strategy == "expand" or size_s % slide_s != 0:
+        if "event_time" not in behavior.columns:
+            behavior = with_event_time(behavior)
         return _expand_window_stats(behavior, size, slide, exact_uv)
     if strategy != "panes":
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -117,10 +117,11 @@ def _pane_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFr
     n = size_s // slide_s                      # panes per window
     block = max(n, 86_400 // slide_s)          # panes per cluster (one day)
 
-    pane = F.floor(F.unix_seconds("event_time") / F.lit(slide_s)).cast("long")
+    et = F.col("event_time") if "event_time" in behavior.columns else event_time("timestamp")
+    pane = F.floor(F.unix_seconds(et) / F.lit(slide_s)).cast("long")
     per_pane = (
-        behavior.where(F.col("event_time").isNotNull())
-        .select("user_id", pane.alias("pane"), "behavior_type", "amount")
+        behavior.select("user_id", pane.alias("pane"), "behavior_type", "amount")
+        .where(F.col("pane").isNotNull())
         .groupBy("user_id", "pane")
         .agg(
             F.count_if(_is("behavior_type", CLICK)).alias("pv"),

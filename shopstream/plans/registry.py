@@ -86,6 +86,12 @@ def q_window_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz_windows(window_stats(load_behavior(spark, sf_dir), exact_uv=False))
 
 
+def q_window_stats_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with Spark's own window() plan (every row copied into its
+    five windows) instead of pane pre-aggregation; same result."""
+    return _ntz_windows(window_stats(load_behavior(spark, sf_dir), strategy="expand"))
+
+
 def q_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dashboard view: the last 30 windows, oldest first, labelled HH:mm-HH:mm."""
     return serving.latest_windows(q_window_stats(spark, sf_dir))
@@ -173,6 +179,21 @@ def q_realtime_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(spark, table)
 
 
+def q_landing_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed by the streaming landing job (dt/hour of arrival) and
+    scanned back with the fixed schema."""
+    from shopstream.streaming.realtime import start_raw_landing
+
+    src = _message_files(spark, sf_dir)
+    base = scratch_path(spark, "landing-stream")
+    query = start_raw_landing(read_message_stream(spark, path=src), base,
+                              scratch_path(spark, "landing-ckpt"), available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return files.read_raw_landing(spark, base).select(*BEHAVIOR_COLUMNS)
+
+
 def q_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily reports upserted into the serving table twice (re-run of a day)."""
     report = q_daily_report(spark, sf_dir).withColumn(
@@ -211,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "category_sales": q_category_sales,
     "daily_report": q_daily_report,
     "window_stats_approx": q_window_stats_approx,
+    "window_stats_expand": q_window_stats_expand,
     "latest_windows": q_latest_windows,
     "daily_series": q_daily_series,
     "funnel_last7": q_funnel_last7,
@@ -218,6 +240,7 @@ QUERIES: dict[str, Query] = {
     "raw_landing_scan": q_raw_landing_scan,
     "stream_window_stats": q_stream_window_stats,
     "realtime_upsert": q_realtime_upsert,
+    "landing_stream_scan": q_landing_stream_scan,
     "daily_upsert": q_daily_upsert,
     "daily_job": q_daily_job,
 }
@@ -231,6 +254,7 @@ ORACLE_SQL: dict[str, str] = {
     "behavior_funnel": oracle.BEHAVIOR_FUNNEL,
     "category_sales": oracle.CATEGORY_SALES,
     "daily_report": oracle.DAILY_REPORT,
+    "window_stats_expand": oracle.WINDOW_STATS,
     "latest_windows": oracle.LATEST_WINDOWS,
     "daily_series": oracle.DAILY_SERIES,
     "funnel_last7": oracle.FUNNEL_LAST7,
@@ -238,6 +262,7 @@ ORACLE_SQL: dict[str, str] = {
     "raw_landing_scan": oracle.RAW_LANDING_SCAN,
     "stream_window_stats": oracle.WINDOW_STATS_NO_UV,
     "realtime_upsert": oracle.WINDOW_STATS_NO_UV,
+    "landing_stream_scan": oracle.JSON_ROUNDTRIP,
     "daily_upsert": oracle.DAILY_REPORT,
     "daily_job": oracle.DAILY_REPORT,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions.timefns import ntz_epoch_millis
-from shopstream.schema import BEHAVIOR, BUY
+from shopstream.schema import BUY
 
 # event_type -> behavior_type. Unknown types pass through unchanged.
 EVENT_TYPE_TO_BEHAVIOR = {
@@ -21,8 +21,15 @@ EVENT_TYPE_TO_BEHAVIOR = {
 }
 
 
+# Columns of the shared events table.
+EVENTS_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The events table with its declared schema (no footer-based inference)."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def behavior_from_events(events: DataFrame) -> DataFrame:
@@ -37,7 +44,7 @@ def behavior_from_events(events: DataFrame) -> DataFrame:
     k = F.col("k")
     behavior_type = F.col("behavior_type")
     is_buy = behavior_type == F.lit(BUY)
-    out = keyed.select(
+    return keyed.select(
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("i_"), k.cast("string")).alias("item_id"),
         F.concat(F.lit("c_"), (k % 10).cast("string")).alias("category_id"),
@@ -47,7 +54,6 @@ def behavior_from_events(events: DataFrame) -> DataFrame:
         ntz_epoch_millis("ts").alias("timestamp"),
         F.lit(None).cast("string").alias("session_id"),
     )
-    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in BEHAVIOR.fields])
 
 
 def load_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:

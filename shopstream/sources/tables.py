@@ -172,12 +172,18 @@ def upsert_jdbc(
         .save()
     )
     sql = merge_statement(table, stage, updates.columns, keys, dialect)
-    spark = updates.sparkSession
+    execute_jdbc(updates.sparkSession, url, [sql], props)
+
+
+def execute_jdbc(spark: SparkSession, url: str, statements: Sequence[str],
+                 properties: dict[str, str] | None = None) -> None:
+    """Run statements in one transaction on a driver-side JDBC connection."""
+    props = dict(properties or {})
     jvm = spark.sparkContext._jvm
     jprops = jvm.java.util.Properties()
-    for k, v in props.items():
-        if k in ("user", "password"):
-            jprops.setProperty(k, v)
+    for k in ("user", "password"):
+        if k in props:
+            jprops.setProperty(k, props[k])
     if "driver" in props:
         jvm.java.lang.Class.forName(props["driver"])
     conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
@@ -185,7 +191,8 @@ def upsert_jdbc(
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
         try:
-            stmt.executeUpdate(sql)
+            for sql in statements:
+                stmt.executeUpdate(sql)
             conn.commit()
         except Exception:
             conn.rollback()
@@ -196,6 +203,16 @@ def upsert_jdbc(
         conn.close()
 
 
+def ensure_jdbc_table(spark: SparkSession, url: str, table: str, ddl: str,
+                      properties: dict[str, str] | None = None) -> None:
+    """Create a serving table from its DDL unless it exists."""
+    try:
+        spark.read.format("jdbc").option("url", url).option(
+            "query", f"SELECT * FROM {table} WHERE 1 = 0").options(**(properties or {})).load()
+    except Exception:
+        execute_jdbc(spark, url, [ddl], properties)
+
+
 def read_serving_jdbc(spark: SparkSession, url: str, table: str,
                       properties: dict[str, str] | None = None) -> DataFrame:
     """A serving table from a relational store, for the ``serving`` views."""

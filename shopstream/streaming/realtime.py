@@ -39,7 +39,7 @@ from shopstream.operators.windows import (
     with_event_time,
 )
 from shopstream.schema import REALTIME_KEYS
-from shopstream.sources.tables import upsert_files
+from shopstream.sources.tables import upsert_files, upsert_jdbc
 
 # The lateness bound, trigger intervals and topic of the jobs.
 WATERMARK = "30 minutes"
@@ -119,6 +119,19 @@ def realtime_table_sink(path: str) -> BatchSink:
     return sink
 
 
+def realtime_jdbc_sink(url: str, table: str = "realtime_stats",
+                       properties: dict[str, str] | None = None,
+                       dialect: str = "merge") -> BatchSink:
+    """``foreachBatch`` function upserting window rows into a relational table
+    (primary key window_start, window_end): staged by Spark's JDBC writer,
+    applied with one MERGE. A replayed batch re-stages and re-merges."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        upsert_jdbc(batch, url, table, REALTIME_KEYS, properties, dialect=dialect)
+
+    return sink
+
+
 def start_realtime_stats(
     messages: DataFrame,
     sink: BatchSink,
