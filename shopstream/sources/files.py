@@ -54,8 +54,12 @@ def write_raw_landing(messages: DataFrame, base: str, arrival: Column | None = N
     if arrival is not None:
         # An explicit count: AQE would otherwise merge a small compressed
         # shuffle into one task, which then writes every directory alone.
+        # The message hash breaks ties, so many messages of one instant can
+        # still be split between tasks.
         spark = messages.sparkSession
-        out = out.repartitionByRange(shuffle_partitions(spark), "_at")
+        out = out.repartitionByRange(
+            shuffle_partitions(spark), F.col("_at"), F.xxhash64("value")
+        )
     out = out.select(
         "value",
         F.date_format("_at", "yyyy-MM-dd").alias("dt"),

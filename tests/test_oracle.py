@@ -42,3 +42,15 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_documented():
     missing = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
     assert missing == {"window_stats_approx"}
+
+
+@pytest.mark.parametrize("name", ["window_stats", "latest_windows", "daily_report", "event_time",
+                                  "raw_landing_scan", "daily_series"])
+def test_results_ignore_session_time_zone(spark, con, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, SMOKE_DIR, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
