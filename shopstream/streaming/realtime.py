@@ -15,6 +15,12 @@ Output modes:
 ``complete``  every trigger re-emits all windows; nothing is ever evicted or
               dropped, so state grows without bound (the original job's mode).
 
+State per window is a click count, a HyperLogLog buffer and a sum. In
+``update`` mode the watermark bounds it to the last ~35 windows, so the default
+state store is enough; a long-running ``complete`` query keeps every window
+and should use the RocksDB state store provider
+(``spark.sql.streaming.stateStore.providerClass``), set before its first start.
+
 A checkpoint location is required: restarts resume from committed offsets and
 state instead of starting over. Stateful shuffles use the session's
 ``spark.sql.shuffle.partitions`` at the first start; it is then fixed by the
