@@ -14,11 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.functions.jsonfns import decode_messages, encode_messages
-from shopstream.functions.timefns import utc_wall_clock
+from shopstream.functions.jsonfns import decode_messages, encode_messages, message_json
+from shopstream.functions.timefns import event_time, utc_day, utc_wall_clock
 from shopstream.operators import daily
 from shopstream.operators.windows import window_stats, with_event_time
-from shopstream.functions.timefns import event_time, utc_day
+from shopstream.plans.jobs import run_daily
 from shopstream.plans import oracle, serving
 from shopstream.schema import BEHAVIOR_COLUMNS, DAILY_KEYS
 from shopstream.session import scratch_path
@@ -28,6 +28,7 @@ from shopstream.sources.tables import upsert_files
 from shopstream.streaming.realtime import (
     read_message_stream,
     realtime_table_sink,
+    start_raw_landing,
     start_realtime_stats,
 )
 
@@ -123,8 +124,6 @@ def q_raw_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The test tables have no arrival clock, so event time picks the directory.
     """
-    from shopstream.functions.jsonfns import message_json
-
     behavior = load_behavior(spark, sf_dir)
     base = scratch_path(spark, "landing")
     files.write_raw_landing(
@@ -182,8 +181,6 @@ def q_realtime_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_landing_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed by the streaming landing job (dt/hour of arrival) and
     scanned back with the fixed schema."""
-    from shopstream.streaming.realtime import start_raw_landing
-
     src = _message_files(spark, sf_dir)
     base = scratch_path(spark, "landing-stream")
     query = start_raw_landing(read_message_stream(spark, path=src), base,
@@ -208,9 +205,6 @@ def q_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole nightly job over every landed day: landing JSON -> warehouse
     Parquet -> report -> upsert; returns the upserted report table."""
-    from shopstream.functions.jsonfns import message_json
-    from shopstream.plans.jobs import run_daily
-
     landing = scratch_path(spark, "job-landing")
     files.write_raw_landing(
         load_behavior(spark, sf_dir).select(message_json().alias("value"), "timestamp"),

@@ -15,6 +15,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopstream.functions.timefns import utc_wall_clock
 from shopstream.schema import BEHAVIOR
@@ -98,5 +99,9 @@ def write_warehouse(behavior: DataFrame, base: str) -> None:
     )
 
 
+WAREHOUSE = T.StructType(BEHAVIOR.fields + [T.StructField("dt", T.DateType())])
+
+
 def read_warehouse(spark: SparkSession, base: str, dates: Iterable[str] | None = None) -> DataFrame:
-    return _day_filter(spark.read.parquet(base), dates)
+    """Warehouse rows with the declared schema (also when no file exists yet)."""
+    return _day_filter(spark.read.schema(WAREHOUSE).parquet(base), dates)
