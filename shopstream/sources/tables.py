@@ -101,16 +101,16 @@ def upsert_files(
             )
         finally:
             updates.unpersist()
-    try:
-        (
-            spark.read.parquet(staging)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .parquet(path)
-        )
-    finally:
-        delete_path(spark, staging)
+    (
+        spark.read.parquet(staging)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+    # Only after a successful swap: a failed swap keeps the staged copy for
+    # the replay of this batch.
+    delete_path(spark, staging)
 
 
 def _table_tag(path: str) -> str:
