@@ -18,6 +18,7 @@ holding the latest value, so the streaming sink can be retried safely.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -87,12 +88,15 @@ def upsert_files(
             if not touched:
                 return
             existing = read_table(spark, path)
-            if existing is None:
-                merged = updates
-            else:
-                old = existing.where(F.col(partition_col).isin(touched))
-                kept = old.join(updates.select(*keys), list(keys), "left_anti")
-                merged = kept.unionByName(updates.select(*existing.columns))
+            if existing is None or not _any_partition_exists(spark, path, partition_col, touched):
+                # Nothing to merge with: write the new partitions directly. A
+                # replay finds them and takes the merge path, which is keyed.
+                fresh = updates if existing is None else updates.select(*existing.columns)
+                _overwrite_partitions(fresh.repartition(partition_col), path, partition_col)
+                return
+            old = existing.where(F.col(partition_col).isin(touched))
+            kept = old.join(updates.select(*keys), list(keys), "left_anti")
+            merged = kept.unionByName(updates.select(*existing.columns))
             (
                 merged.repartition(partition_col)
                 .write.mode("overwrite")
@@ -101,16 +105,32 @@ def upsert_files(
             )
         finally:
             updates.unpersist()
+    _overwrite_partitions(spark.read.parquet(staging), path, partition_col)
+    # Only after a successful swap: a failed swap keeps the staged copy for
+    # the replay of this batch.
+    delete_path(spark, staging)
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     (
-        spark.read.parquet(staging)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )
-    # Only after a successful swap: a failed swap keeps the staged copy for
-    # the replay of this batch.
-    delete_path(spark, staging)
+
+
+_PLAIN = re.compile(r"^[A-Za-z0-9_.-]+$")
+
+
+def _any_partition_exists(spark: SparkSession, path: str, partition_col: str, values) -> bool:
+    for v in values:
+        text = str(v)
+        if v is None or not _PLAIN.match(text):
+            return True           # escaped or default partition names: assume present
+        if path_exists(spark, f"{path}/{partition_col}={text}"):
+            return True
+    return False
 
 
 def _table_tag(path: str) -> str:
