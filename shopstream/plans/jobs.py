@@ -56,7 +56,10 @@ def land_to_warehouse(
 ) -> DataFrame:
     """Convert the landed days to Parquet and return the warehouse rows of those days."""
     raw = files.read_raw_landing(spark, landing, dates, suffix=suffix).drop("hour")
-    files.write_warehouse(raw.withColumn("dt", F.date_format("dt", "yyyy-MM-dd")), warehouse)
+    many_days = dates is None or len(dates) > 1
+    files.write_warehouse(
+        raw.withColumn("dt", F.date_format("dt", "yyyy-MM-dd")), warehouse, cluster_days=many_days
+    )
     return files.read_warehouse(spark, warehouse, dates)
 
 

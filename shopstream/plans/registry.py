@@ -115,6 +115,7 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_warehouse(
         behavior.withColumn("dt", F.date_format(utc_day(event_time("timestamp")), "yyyy-MM-dd")),
         base,
+        cluster_days=True,
     )
     return files.read_warehouse(spark, base).select(*BEHAVIOR_COLUMNS, "dt")
 

@@ -84,12 +84,22 @@ def read_raw_landing(
     return _day_filter(df, dates)
 
 
-def write_warehouse(behavior: DataFrame, base: str) -> None:
+def write_warehouse(behavior: DataFrame, base: str, cluster_days: bool = False) -> None:
     """Write behavior rows with a ``dt`` column into the warehouse.
 
     Dynamic partition overwrite: only the days present in ``behavior`` are
     replaced, so a backfill of one day leaves every other day untouched.
+
+    ``cluster_days`` (for writes of many days): input splits mix days, so
+    without it every task writes a file into every day. With it the rows are
+    range-partitioned by (day, row hash) first: each task covers a stretch of
+    one or two days, and a busy day is spread over several tasks.
     """
+    if cluster_days:
+        cols = [c for c in behavior.columns if c != "dt"]
+        behavior = behavior.repartitionByRange(
+            shuffle_partitions(behavior.sparkSession), F.col("dt"), F.xxhash64(*cols)
+        )
     (
         behavior.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
