@@ -115,3 +115,27 @@ def test_raw_landing_stream(spark):
     today = df.select(F.max("dt")).first()[0]
     assert read_raw_landing(spark, base, dates=[str(today)]).count() == 6
     assert read_raw_landing(spark, base, dates=["1999-01-01"]).count() == 0
+
+
+def test_complete_mode_rewrites_only_changed_days(spark):
+    src = scratch_path(spark, "cm-src")
+    os.makedirs(src)
+    table = scratch_path(spark, "cm-table")
+    ckpt = scratch_path(spark, "cm-ckpt")
+
+    def run(name, lines):
+        with open(os.path.join(src, name), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        q = start_realtime_stats(read_message_stream(spark, path=src), realtime_table_sink(table),
+                                 ckpt, mode="complete", available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run("a.json", [_msg(0, "click"), _msg(24 * 60 + 5, "click")])      # two days
+    day1 = os.path.join(table, "window_day=2023-11-14")
+    before = sorted(os.listdir(day1))
+    run("b.json", [_msg(24 * 60 + 6, "buy", 2.0)])                        # day two only
+    assert sorted(os.listdir(day1)) == before
+    got = {r[0]: (r[2], r[3]) for r in _windows(spark, table)}
+    assert got[BASE + dt.timedelta(minutes=24 * 60 + 5)] == (1, 2.0)
+    assert got[BASE] == (1, 0.0)
