@@ -143,13 +143,14 @@ def _message_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _run_stream(spark: SparkSession, src: str, table: str, mode: str,
-                checkpoint: str | None = None) -> None:
+                checkpoint: str | None = None, exact_uv: bool = False) -> None:
     query = start_realtime_stats(
         read_message_stream(spark, path=src),
         realtime_table_sink(table),
         checkpoint or scratch_path(spark, "stream-ckpt"),
         mode=mode,
         available_now=True,
+        exact_uv=exact_uv,
     )
     query.awaitTermination()
     if query.exception() is not None:
@@ -186,6 +187,16 @@ def q_stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_result(spark, table)
 
 
+def q_stream_window_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The realtime job with exact uv: chained stateful aggregates in append
+    mode. Returns the windows the final watermark has closed."""
+    src = _message_files(spark, sf_dir)
+    table = scratch_path(spark, "realtime-stats")
+    _run_stream(spark, src, table, "append", exact_uv=True)
+    return _ntz_windows(spark.read.parquet(table)).select(
+        "window_start", "window_end", "pv", "uv", "sales")
+
+
 def q_realtime_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The realtime job in update mode over four consecutive time spans, one
     per trigger (windows spanning two spans are updated by the later batch),
@@ -252,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "raw_landing_scan": q_raw_landing_scan,
     "stream_window_stats": q_stream_window_stats,
+    "stream_window_stats_exact": q_stream_window_stats_exact,
     "realtime_upsert": q_realtime_upsert,
     "landing_stream_scan": q_landing_stream_scan,
     "daily_upsert": q_daily_upsert,
@@ -274,6 +286,7 @@ ORACLE_SQL: dict[str, str] = {
     "parquet_roundtrip": oracle.PARQUET_ROUNDTRIP,
     "raw_landing_scan": oracle.RAW_LANDING_SCAN,
     "stream_window_stats": oracle.WINDOW_STATS_NO_UV,
+    "stream_window_stats_exact": oracle.WINDOW_STATS_CLOSED,
     "realtime_upsert": oracle.WINDOW_STATS_NO_UV,
     "landing_stream_scan": oracle.JSON_ROUNDTRIP,
     "daily_upsert": oracle.DAILY_REPORT,

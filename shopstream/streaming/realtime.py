@@ -37,14 +37,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.functions.jsonfns import decode_messages
 from shopstream.functions.timefns import utc_day
+from shopstream.functions.money import money_out, to_money
 from shopstream.operators.windows import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
+    duration_seconds,
     flatten_windows,
     window_aggregates,
     with_event_time,
 )
-from shopstream.schema import REALTIME_KEYS
+from shopstream.schema import BUY, CLICK, REALTIME_KEYS
 from shopstream.sources.tables import read_table, upsert_files, upsert_jdbc
 
 # The lateness bound, trigger intervals and topic of the jobs.
@@ -97,16 +99,45 @@ def realtime_stats_stream(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
+    exact_uv: bool = False,
 ) -> DataFrame:
-    """Streaming pv / uv / sales per window (uv approximate: streams cannot
-    keep exact distinct counts)."""
-    behavior = with_event_time(decode_messages(messages.select("value")))
-    windowed = (
-        behavior.withWatermark("event_time", watermark)
-        .groupBy(F.window("event_time", size, slide).alias("window"))
-        .agg(*window_aggregates(exact_uv=False))
+    """Streaming pv / uv / sales per window.
+
+    Default: one stateful aggregate with a HyperLogLog uv; works with the
+    ``update`` and ``complete`` output modes.
+
+    ``exact_uv=True``: two chained stateful aggregates, (window, user) and then
+    window; the second groups by a ``slide``-wide window over
+    ``window_time(window)`` so the watermark carries over. Spark allows such a
+    chain only in ``append`` mode: each window is emitted once, final and
+    exact, after the watermark passes its end (a delay of about the lateness
+    bound). State holds the open windows' users, bounded by the watermark.
+    """
+    behavior = with_event_time(decode_messages(messages.select("value"))).withWatermark(
+        "event_time", watermark
+    )
+    if not exact_uv:
+        windowed = behavior.groupBy(F.window("event_time", size, slide).alias("window")).agg(
+            *window_aggregates(exact_uv=False)
+        )
+        return flatten_windows(windowed)
+    per_user = behavior.groupBy(F.window("event_time", size, slide).alias("window"), "user_id").agg(
+        F.count_if(F.col("behavior_type") == F.lit(CLICK)).alias("pv"),
+        F.sum(
+            F.when(F.col("behavior_type") == F.lit(BUY), to_money("amount")).otherwise(F.lit(0))
+        ).alias("sales"),
+    )
+    per_window = per_user.groupBy(F.window(F.window_time("window"), slide).alias("tail")).agg(
+        F.sum("pv").alias("pv"), F.count("user_id").alias("uv"), F.sum("sales").alias("sales")
+    )
+    end = F.col("tail.end")
+    return per_window.select(
+        F.timestamp_seconds(F.unix_seconds(end) - F.lit(duration_seconds(size))).alias("window_start"),
+        end.alias("window_end"),
+        F.col("pv").cast("long").alias("pv"),
+        F.col("uv").cast("long").alias("uv"),
+        money_out("sales").alias("sales"),
     )
-    return flatten_windows(windowed)
 
 
 def realtime_table_sink(path: str) -> BatchSink:
@@ -154,11 +185,13 @@ def start_realtime_stats(
     processing_time: str | None = STATS_TRIGGER,
     available_now: bool = False,
     query_name: str | None = None,
-    **window_args: str,
+    **window_args,
 ) -> StreamingQuery:
-    if mode not in ("update", "complete"):
-        raise ValueError("mode must be 'update' or 'complete'")
-    stats = realtime_stats_stream(messages, **window_args)
+    exact_uv = bool(window_args.pop("exact_uv", False))
+    allowed = ("append",) if exact_uv else ("update", "complete")
+    if mode not in allowed:
+        raise ValueError(f"mode must be one of {allowed} (exact_uv={exact_uv})")
+    stats = realtime_stats_stream(messages, exact_uv=exact_uv, **window_args)
     writer = (
         stats.writeStream.foreachBatch(sink)
         .outputMode(mode)

@@ -139,3 +139,35 @@ def test_complete_mode_rewrites_only_changed_days(spark):
     got = {r[0]: (r[2], r[3]) for r in _windows(spark, table)}
     assert got[BASE + dt.timedelta(minutes=24 * 60 + 5)] == (1, 2.0)
     assert got[BASE] == (1, 0.0)
+
+
+def test_exact_uv_stream_equals_batch_on_closed_windows(spark):
+    # Three consecutive time spans arrive one after another (in event-time
+    # order, so nothing is late); each is processed by the next trigger.
+    b = load_behavior(spark, SMOKE_DIR)
+    src = scratch_path(spark, "ex-msgs")
+    table = scratch_path(spark, "ex-table")
+    ckpt = scratch_path(spark, "ex-ckpt")
+    lo, hi = b.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (hi - lo) // 3 + 1
+    for i in range(3):
+        piece = b.where((F.col("timestamp") >= lo + i * step) & (F.col("timestamp") < lo + (i + 1) * step))
+        encode_messages(piece).write.mode("append").text(src)
+        q = start_realtime_stats(read_message_stream(spark, path=src), realtime_table_sink(table),
+                                 ckpt, mode="append", available_now=True, exact_uv=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    got = {r[0]: tuple(r[1:]) for r in spark.read.parquet(table).select(
+        utc_wall_clock("window_start"), "pv", "uv", "sales").collect()}
+    want = {r[0]: tuple(r[1:]) for r in window_stats(b).select(
+        utc_wall_clock("window_start"), "pv", "uv", "sales").collect()}
+    assert got and set(got) <= set(want)
+    assert all(got[k] == want[k] for k in got)          # exact, final values
+
+
+def test_exact_uv_needs_append_mode(spark):
+    src = scratch_path(spark, "ex2")
+    os.makedirs(src)
+    with pytest.raises(ValueError):
+        start_realtime_stats(read_message_stream(spark, path=src), lambda df, i: None,
+                             scratch_path(spark, "ex2-ckpt"), mode="update", exact_uv=True)
