@@ -8,7 +8,7 @@ Realtime job:
     messages (Kafka or files) -> window stats -> foreachBatch upsert
 
     python -m shopstream.plans.jobs daily --landing L --warehouse W --reports R [--date D ...]
-    python -m shopstream.plans.jobs realtime --bootstrap-servers H:P --table T --checkpoint C
+    python -m shopstream.plans.jobs realtime --bootstrap-servers H:P --table T --checkpoint C [--exact-uv]
 """
 
 from __future__ import annotations
@@ -117,7 +117,9 @@ def _main(argv: Sequence[str] | None = None) -> None:
     r.add_argument("--path", help="directory of message files instead of Kafka")
     r.add_argument("--table", required=True)
     r.add_argument("--checkpoint")
-    r.add_argument("--mode", default="update", choices=["update", "complete"])
+    r.add_argument("--mode", default="update", choices=["update", "complete", "append"])
+    r.add_argument("--exact-uv", action="store_true",
+                   help="exact distinct users per window (append mode, final rows)")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
@@ -130,8 +132,9 @@ def _main(argv: Sequence[str] | None = None) -> None:
         messages = read_message_stream(spark, bootstrap_servers=args.bootstrap_servers,
                                        topic=args.topic, path=args.path)
         ckpt = args.checkpoint or f"{checkpoint_root(spark)}/shopstream/realtime"
+        mode = "append" if args.exact_uv else args.mode
         start_realtime_stats(messages, realtime_table_sink(args.table), ckpt,
-                             mode=args.mode).awaitTermination()
+                             mode=mode, exact_uv=args.exact_uv).awaitTermination()
 
 
 if __name__ == "__main__":
