@@ -31,7 +31,9 @@ def with_report_date(behavior: DataFrame, day_by: str = "event") -> DataFrame:
             F.col("report_date").isNotNull()
         )
     if day_by == "arrival":
-        return behavior.withColumn("report_date", F.col("dt").cast("date"))
+        return behavior.withColumn("report_date", F.col("dt").cast("date")).where(
+            F.col("report_date").isNotNull()
+        )
     raise ValueError(f"day_by must be 'event' or 'arrival', not {day_by!r}")
 
 

@@ -133,7 +133,8 @@ def _main(argv: Sequence[str] | None = None) -> None:
                                        topic=args.topic, path=args.path)
         ckpt = args.checkpoint or f"{checkpoint_root(spark)}/shopstream/realtime"
         mode = "append" if args.exact_uv else args.mode
-        start_realtime_stats(messages, realtime_table_sink(args.table), ckpt,
+        sink = realtime_table_sink(args.table, skip_unchanged=(mode == "complete"))
+        start_realtime_stats(messages, sink, ckpt,
                              mode=mode, exact_uv=args.exact_uv).awaitTermination()
 
 

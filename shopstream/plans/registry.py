@@ -146,7 +146,7 @@ def _run_stream(spark: SparkSession, src: str, table: str, mode: str,
                 checkpoint: str | None = None, exact_uv: bool = False) -> None:
     query = start_realtime_stats(
         read_message_stream(spark, path=src),
-        realtime_table_sink(table),
+        realtime_table_sink(table, skip_unchanged=(mode == "complete")),
         checkpoint or scratch_path(spark, "stream-ckpt"),
         mode=mode,
         available_now=True,

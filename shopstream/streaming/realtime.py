@@ -140,18 +140,18 @@ def realtime_stats_stream(
     )
 
 
-def realtime_table_sink(path: str) -> BatchSink:
+def realtime_table_sink(path: str, skip_unchanged: bool = False) -> BatchSink:
     """``foreachBatch`` function upserting window rows into a Parquet table
     partitioned by the UTC day of ``window_start``.
 
-    Rows equal to what the table already holds are dropped first, so only the
-    days whose windows changed are rewritten. That matters in ``complete``
-    mode, where every trigger re-emits every window.
+    ``skip_unchanged`` (use it with ``complete`` mode, where every trigger
+    re-emits every window): rows equal to what the table already holds are
+    dropped first, so only the days whose windows changed are rewritten.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("window_day", utc_day("window_start"))
-        existing = read_table(batch.sparkSession, path)
+        existing = read_table(batch.sparkSession, path) if skip_unchanged else None
         if existing is not None:
             same = [rows[c].eqNullSafe(existing[c]) for c in existing.columns]
             cond = same[0]

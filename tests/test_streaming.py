@@ -75,7 +75,8 @@ def _run_late(spark, mode):
     for i, lines in enumerate(LATE_FILES):
         with open(os.path.join(src, f"f{i}.json"), "w") as fh:
             fh.write("\n".join(lines) + "\n")
-        q = start_realtime_stats(read_message_stream(spark, path=src), realtime_table_sink(table),
+        q = start_realtime_stats(read_message_stream(spark, path=src),
+                                 realtime_table_sink(table, skip_unchanged=(mode == "complete")),
                                  ckpt, mode=mode, available_now=True, size="5 minutes",
                                  slide="5 minutes")
         q.awaitTermination()
@@ -126,7 +127,8 @@ def test_complete_mode_rewrites_only_changed_days(spark):
     def run(name, lines):
         with open(os.path.join(src, name), "w") as fh:
             fh.write("\n".join(lines) + "\n")
-        q = start_realtime_stats(read_message_stream(spark, path=src), realtime_table_sink(table),
+        q = start_realtime_stats(read_message_stream(spark, path=src),
+                                 realtime_table_sink(table, skip_unchanged=True),
                                  ckpt, mode="complete", available_now=True)
         q.awaitTermination()
         assert q.exception() is None
