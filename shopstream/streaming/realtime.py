@@ -185,13 +185,16 @@ def start_realtime_stats(
     processing_time: str | None = STATS_TRIGGER,
     available_now: bool = False,
     query_name: str | None = None,
-    **window_args,
+    exact_uv: bool = False,
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+    watermark: str = WATERMARK,
 ) -> StreamingQuery:
-    exact_uv = bool(window_args.pop("exact_uv", False))
+    """Start the realtime window query with ``sink`` as its foreachBatch."""
     allowed = ("append",) if exact_uv else ("update", "complete")
     if mode not in allowed:
         raise ValueError(f"mode must be one of {allowed} (exact_uv={exact_uv})")
-    stats = realtime_stats_stream(messages, exact_uv=exact_uv, **window_args)
+    stats = realtime_stats_stream(messages, size, slide, watermark, exact_uv=exact_uv)
     writer = (
         stats.writeStream.foreachBatch(sink)
         .outputMode(mode)
