@@ -12,7 +12,8 @@ from shopstream.session import build_session  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# Five sample messages of the activity topic (2023-11-14 22:13:20..24 UTC).
+# The five sample messages of the activity topic
+# (2023-11-14 22:13:20..24 UTC), as published.
 SAMPLE_MESSAGES = [
     '{"user_id":"u_1001","item_id":"i_5002","category_id":"c_301","behavior_type":"click","quantity":0,"amount":0,"timestamp":1700000000000,"session_id":"s_abc123"}',
     '{"user_id":"u_1002","item_id":"i_5003","category_id":"c_302","behavior_type":"cart","quantity":0,"amount":0,"timestamp":1700000001000,"session_id":"s_abc124"}',
