@@ -1,0 +1,56 @@
+"""Physical-plan properties the design relies on at scale."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_mod
+from conftest import SAMPLE_MESSAGES, SMOKE_DIR, messages_df
+from shopstream.functions.jsonfns import decode_messages
+from shopstream.operators import daily
+from shopstream.session import scratch_path
+from shopstream.sources import files
+
+BATCH = ["window_stats", "event_time", "json_roundtrip", "daily_total_sales", "top_products",
+         "behavior_funnel", "category_sales", "daily_report", "window_stats_approx",
+         "window_stats_expand", "latest_windows", "daily_series", "funnel_last7"]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_python_no_broadcast_no_cartesian(spark, name):
+    plan = _plan(entry_mod.queries()[name](spark, SMOKE_DIR))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
+                "BroadcastNestedLoopJoin", "BroadcastExchange"):
+        assert bad not in plan, (name, bad)
+
+
+def test_top_k_is_partial_before_the_shuffle(spark):
+    plan = entry_mod.queries()["top_products"](spark, SMOKE_DIR)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_latest_windows_is_take_ordered(spark):
+    assert "TakeOrderedAndProject" in _plan(entry_mod.queries()["latest_windows"](spark, SMOKE_DIR))
+
+
+def test_window_stats_reads_only_needed_columns(spark):
+    plan = _plan(entry_mod.queries()["window_stats"](spark, SMOKE_DIR))
+    assert "props" not in plan and "event_id" not in plan
+
+
+def test_warehouse_read_prunes_days_and_pushes_buy_filter(spark):
+    base = scratch_path(spark, "plan-wh")
+    b = decode_messages(messages_df(spark, SAMPLE_MESSAGES))
+    files.write_warehouse(b.withColumn("dt", F.lit("2023-11-14")), base)
+    day = files.read_warehouse(spark, base, dates=["2023-11-14"])
+    plan = _plan(daily.item_sales(day, day_by="arrival"))
+    pf = plan[plan.index("PartitionFilters: ["):]
+    assert "2023-11-14" in pf[: pf.index("]")]
+    assert "EqualTo(behavior_type,buy)" in plan
+    assert "ReadSchema: struct<item_id:string,behavior_type:string,amount:double>" in plan
