@@ -47,9 +47,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None while it does not exist yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException:          # directory without data files
         return None
 
 
