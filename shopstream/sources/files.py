@@ -4,9 +4,11 @@ Landing   JSON lines, one message per line, partitioned by arrival
           ``dt=YYYY-MM-DD/hour=HH``.
 Warehouse Parquet (snappy) of decoded behavior rows, partitioned by ``dt``.
 
-Reads always start at the base directory and filter on the partition columns,
-which Spark turns into partition pruning; the partition columns stay in the
-result, and a day that has no directory yields no rows instead of an error.
+Reads of given days list only those day directories (``basePath`` keeps the
+partition columns), so a nightly run does not list the whole history; a day
+without a directory yields no rows instead of an error. A landing written by
+the streaming sink is read through its commit log (``_spark_metadata``), which
+names exactly the committed files, and filtered on ``dt``.
 """
 
 from __future__ import annotations
@@ -28,6 +30,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(value) if value.isdigit() else spark.sparkContext.defaultParallelism
 
 
+def _has_commit_log(spark: SparkSession, base: str) -> bool:
+    from shopstream.sources.tables import path_exists
+
+    return path_exists(spark, f"{base.rstrip('/')}/_spark_metadata")
+
+
+def _day_paths(spark: SparkSession, base: str, dates: Iterable[str]) -> list[str]:
+    """Existing ``base/dt=<day>`` directories for the requested days."""
+    from shopstream.sources.tables import path_exists
+
+    paths = [f"{base.rstrip('/')}/dt={d}" for d in dict.fromkeys(dates)]
+    return [p for p in paths if path_exists(spark, p)]
+
+
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
 def _day_filter(df: DataFrame, dates: Iterable[str] | None) -> DataFrame:
     if dates is None:
         return df
@@ -80,8 +100,15 @@ def read_raw_landing(
     The schema is fixed (never inferred) and parsing is permissive: a field of
     the wrong type is null, a malformed line is a row of nulls.
     """
-    df = spark.read.schema(BEHAVIOR).option("pathGlobFilter", suffix).json(base)
-    return _day_filter(df, dates)
+    reader = spark.read.schema(BEHAVIOR).option("pathGlobFilter", suffix)
+    if dates is None or _has_commit_log(spark, base):
+        # A streaming sink's commit log names exactly the committed files.
+        return _day_filter(reader.json(base), dates)
+    days = _day_paths(spark, base, dates)
+    if not days:
+        return _empty(spark, T.StructType(
+            BEHAVIOR.fields + [T.StructField("dt", T.DateType()), T.StructField("hour", T.IntegerType())]))
+    return _day_filter(reader.option("basePath", base).json(days), dates)
 
 
 def write_warehouse(behavior: DataFrame, base: str, cluster_days: bool = False) -> None:
@@ -113,5 +140,15 @@ WAREHOUSE = T.StructType(BEHAVIOR.fields + [T.StructField("dt", T.DateType())])
 
 
 def read_warehouse(spark: SparkSession, base: str, dates: Iterable[str] | None = None) -> DataFrame:
-    """Warehouse rows with the declared schema (also when no file exists yet)."""
-    return _day_filter(spark.read.schema(WAREHOUSE).parquet(base), dates)
+    """Warehouse rows with the declared schema (also when no file exists yet).
+
+    With ``dates`` only those day directories are listed, not the whole
+    history; the ``dt`` column is kept through ``basePath``.
+    """
+    reader = spark.read.schema(WAREHOUSE)
+    if dates is None:
+        return reader.parquet(base)
+    days = _day_paths(spark, base, dates)
+    if not days:
+        return _empty(spark, WAREHOUSE)
+    return _day_filter(reader.option("basePath", base).parquet(*days), dates)

@@ -54,3 +54,14 @@ def test_warehouse_read_prunes_days_and_pushes_buy_filter(spark):
     assert "2023-11-14" in pf[: pf.index("]")]
     assert "EqualTo(behavior_type,buy)" in plan
     assert "ReadSchema: struct<item_id:string,behavior_type:string,amount:double>" in plan
+
+
+def test_dated_read_lists_only_that_day(spark):
+    base = scratch_path(spark, "plan-days")
+    b = decode_messages(messages_df(spark, SAMPLE_MESSAGES))
+    for day in ("2023-11-13", "2023-11-14"):
+        files.write_warehouse(b.withColumn("dt", F.lit(day)), base)
+    df = files.read_warehouse(spark, base, dates=["2023-11-14", "2030-01-01"])
+    plan = _plan(df)
+    assert "dt=2023-11-14" in plan and "dt=2023-11-13" not in plan
+    assert df.count() == 5 and {str(r.dt) for r in df.select("dt").distinct().collect()} == {"2023-11-14"}
