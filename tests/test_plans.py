@@ -65,3 +65,9 @@ def test_dated_read_lists_only_that_day(spark):
     plan = _plan(df)
     assert "dt=2023-11-14" in plan and "dt=2023-11-13" not in plan
     assert df.count() == 5 and {str(r.dt) for r in df.select("dt").distinct().collect()} == {"2023-11-14"}
+
+
+def test_daily_report_reuses_the_item_sales_exchange(spark):
+    df = entry_mod.queries()["daily_report"](spark, SMOKE_DIR)
+    df.collect()                                  # final adaptive plan
+    assert "ReusedExchange" in _plan(df)
