@@ -177,11 +177,14 @@ def upsert_jdbc(
     properties: dict[str, str] | None = None,
     dialect: str = "merge",
     stage_table: str | None = None,
+    max_connections: int = 8,
 ) -> None:
     """Stage ``updates`` through the JDBC writer, then MERGE into ``table``.
 
     The target table must exist with a primary key on ``keys`` (see
     ``shopstream.schema`` for the DDL). Credentials come in ``properties``.
+    The staging write opens at most ``max_connections`` connections (Spark
+    coalesces the batch to that many partitions).
     """
     props = dict(properties or {})
     stage = stage_table or f"{table}_stage"
@@ -190,6 +193,7 @@ def upsert_jdbc(
         .option("url", url)
         .option("dbtable", stage)
         .option("truncate", "true")
+        .option("numPartitions", str(max_connections))
         .options(**props)
         .mode("overwrite")
         .save()
