@@ -165,9 +165,15 @@ def _stream_in_pieces(spark: SparkSession, sf_dir: str, table: str, pieces: int)
     checkpoint = scratch_path(spark, "stream-ckpt")
     behavior = load_behavior(spark, sf_dir)
     lo, hi = behavior.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if lo is None:                       # no timed rows: one piece with everything
+        encode_messages(behavior).write.mode("append").text(src)
+        _run_stream(spark, src, table, "update", checkpoint)
+        return src
     step = (hi - lo) // pieces + 1
     for i in range(pieces):
         span = (F.col("timestamp") >= lo + i * step) & (F.col("timestamp") < lo + (i + 1) * step)
+        if i == 0:
+            span = span | F.col("timestamp").isNull()    # every row is fed once
         encode_messages(behavior.where(span)).write.mode("append").text(src)
         _run_stream(spark, src, table, "update", checkpoint)
     return src
