@@ -125,8 +125,16 @@ def daily_report(behavior: DataFrame, day_by: str = "event") -> DataFrame:
     def uv(kind: str) -> Column:
         return F.count_if(has_user & (F.col("behavior_type") == F.lit(kind)))
 
+    # Only the three stored types are counted. Rows of other types keep just
+    # their day (type and user nulled), so they collapse to one row per day
+    # and task before the distinct shuffle while every day stays present.
+    keep = F.col("behavior_type").isin(CLICK, CART, BUY)
     user_counts = (
-        days.select("report_date", "behavior_type", "user_id")
+        days.select(
+            "report_date",
+            F.when(keep, F.col("behavior_type")).alias("behavior_type"),
+            F.when(keep, F.col("user_id")).alias("user_id"),
+        )
         .distinct()
         .groupBy("report_date")
         .agg(uv(CLICK).alias("click_uv"), uv(CART).alias("cart_uv"), uv(BUY).alias("buy_uv"))
