@@ -66,7 +66,7 @@ def window_stats(
     slide: str = WINDOW_SLIDE,
     *,
     exact_uv: bool = True,
-    strategy: str = "panes",
+    strategy: str | None = None,
 ) -> DataFrame:
     """Per-window pv / uv / sales.
 
@@ -74,14 +74,23 @@ def window_stats(
     ``event_time`` or ``timestamp``. Rows without event time are in no window.
     Returns ``window_start, window_end`` (TIMESTAMP), ``pv, uv`` (long),
     ``sales`` (double).
+
+    ``strategy`` defaults to ``panes`` for exact uv and ``expand`` (HLL++, as
+    the stream computes it) for approximate uv. ``panes`` with
+    ``exact_uv=False`` is the opt-in sketch plan: one HLL sketch per pane,
+    unioned over the panes of each window, so each row is aggregated once
+    instead of once per window; its estimator differs from HLL++.
     """
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
-    if not exact_uv or strategy == "expand" or size_s % slide_s != 0:
+    strategy = strategy or ("panes" if exact_uv else "expand")
+    if strategy not in ("panes", "expand"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "expand" or size_s % slide_s != 0:
         if "event_time" not in behavior.columns:
             behavior = with_event_time(behavior)
         return _expand_window_stats(behavior, size, slide, exact_uv)
-    if strategy != "panes":
-        raise ValueError(f"unknown strategy {strategy!r}")
+    if not exact_uv:
+        return _sketch_window_stats(behavior, size_s, slide_s)
     return _pane_window_stats(behavior, size_s, slide_s)
 
 
@@ -168,3 +177,38 @@ def _pane_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFr
         F.col("uv").cast("long").alias("uv"),
         money_out("sales").alias("sales"),
     )
+
+
+def _sketch_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFrame:
+    """Approximate uv from per-pane HLL sketches (pv and sales stay exact)."""
+    n = size_s // slide_s
+    et = F.col("event_time") if "event_time" in behavior.columns else event_time("timestamp")
+    pane = F.floor(F.unix_seconds(et) / F.lit(slide_s)).cast("long")
+    per_pane = (
+        behavior.select(pane.alias("pane"), "user_id", "behavior_type", "amount")
+        .where(F.col("pane").isNotNull())
+        .groupBy("pane")
+        .agg(
+            F.count_if(_is("behavior_type", CLICK)).alias("pv"),
+            F.sum(
+                F.when(_is("behavior_type", BUY), to_money("amount")).otherwise(F.lit(0))
+            ).alias("sales"),
+            F.hll_sketch_agg("user_id").alias("users"),
+        )
+    )
+    spread = per_pane.select(
+        "pv", "sales", "users",
+        F.explode(F.sequence(F.col("pane") - F.lit(n - 1), F.col("pane"))).alias("win"),
+    )
+    per_window = spread.groupBy("win").agg(
+        F.sum("pv").alias("pv"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("uv"),
+        F.sum("sales").alias("sales"),
+    )
+    return per_window.select(
+        F.timestamp_seconds(F.col("win") * F.lit(slide_s)).alias("window_start"),
+        F.timestamp_seconds(F.col("win") * F.lit(slide_s) + F.lit(size_s)).alias("window_end"),
+        F.col("pv").cast("long").alias("pv"),
+        F.col("uv").cast("long").alias("uv"),
+        money_out("sales").alias("sales"),
+    )

@@ -87,6 +87,13 @@ def q_window_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz_windows(window_stats(load_behavior(spark, sf_dir), exact_uv=False))
 
 
+def q_window_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate uv from per-minute HLL sketches unioned per window (opt-in
+    estimator; each row is aggregated once, not once per window)."""
+    return _ntz_windows(
+        window_stats(load_behavior(spark, sf_dir), exact_uv=False, strategy="panes"))
+
+
 def q_window_stats_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship with Spark's own window() plan (every row copied into its
     five windows) instead of pane pre-aggregation; same result."""
@@ -263,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "daily_report": q_daily_report,
     "window_stats_approx": q_window_stats_approx,
     "window_stats_expand": q_window_stats_expand,
+    "window_stats_sketch": q_window_stats_sketch,
     "latest_windows": q_latest_windows,
     "daily_series": q_daily_series,
     "funnel_last7": q_funnel_last7,

@@ -127,3 +127,15 @@ def test_pane_plan_has_no_expand_of_raw_rows(spark):
     plan = window_stats(load_behavior(spark, SMOKE_DIR))._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
     assert plan.count("Exchange") == 3
+
+
+def test_sketch_plan_close_to_exact(spark):
+    b = load_behavior(spark, SMOKE_DIR)
+    exact = {r[0]: r for r in _tuples(window_stats(b))}
+    sketch = {r[0]: r for r in _tuples(window_stats(b, exact_uv=False, strategy="panes"))}
+    assert exact.keys() == sketch.keys()
+    assert all(exact[k][2] == sketch[k][2] and exact[k][4] == sketch[k][4] for k in exact)
+    assert max(abs(exact[k][3] - sketch[k][3]) for k in exact) <= 2
+    plan = window_stats(b, exact_uv=False, strategy="panes")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Expand" not in plan
