@@ -41,4 +41,32 @@ FROM (SELECT p.*, p.passes + CASE WHEN source_size > 0 AND rest > 0 AND (boundar
       FROM placed p LEFT JOIN bounds b ON p.source IS NOT DISTINCT FROM b.source) p
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2}
+_WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, coalesce({_WORDS}, []) AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, len(x) AS l, array_to_string(x, ' ') AS win
+  FROM (SELECT item, unnest(CASE WHEN len(w) >= 10 THEN list_transform(range(1, len(w) - 8), lambda i: w[i:i+9])
+                                 WHEN len(w) > 0 THEN [w] ELSE [] END) AS x FROM b)),
+lengths AS (SELECT DISTINCT l FROM windows),
+places AS (
+  SELECT doc_id, pos, l, array_to_string(w[pos:pos + l - 1], ' ') AS win
+  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS pos FROM d, lengths WHERE len(w) >= l)),
+hits AS (SELECT doc_id, pos, l, item FROM places JOIN windows USING (l, win)),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + l)) AS p FROM (SELECT DISTINCT doc_id, pos, l FROM hits))
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS list
+  FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2, "op4_decontamination": OP4}
