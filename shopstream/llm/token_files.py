@@ -30,14 +30,17 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Scratch, as_bytes, ready, slices
+from shopstream.llm.common import Scratch, as_bytes, mix64, ready, slices
 
 PAGE_IDS = 1 << 16
+#: Text encoded at a time in a task.
+ENCODE_BYTES = 2 << 20
 BLOCK_WORDS = 128
 END_ID = 2
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -136,8 +139,9 @@ def decode_ids(words: np.ndarray, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- tokenizing
 
-#: Lower-case Latin letters, then ASCII punctuation without the apostrophe (which starts contractions).
-_LETTERS_THEN_MARKS = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)\Z")
+#: Lower-case Latin letters, then perhaps ASCII marks; no apostrophe, which starts contractions, and
+#: nothing that could be part of a special token.
+_LETTERS_THEN_MARKS = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[-`{-~]*)\Z")
 
 #: A special token of the vocabulary.
 _APART = b"<|startoftext|>"
@@ -148,8 +152,8 @@ class WordCache:
 
     This tokenizer collapses white space and splits at it before its merges, so a
     text's ids are its words' ids in a row (tests compare with whole-text encoding).
-    Words are encoded once and looked up after that; the cache starts anew when it
-    holds ``limit`` words.
+    A slice's words are told apart by a 64-bit hash; distinct words are encoded
+    once and kept; the cache starts anew when it holds ``limit`` words.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
@@ -157,78 +161,146 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.apart = self.tokenizer.token_to_id(_APART.decode())
+        # How the tokenizer writes each accented letter before its merges.
+        self.spelling = str.maketrans({
+            c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xE0, 0x100)) if c != "\xf7"})
         self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        # Entry 0 is the mark between texts: one id.
-        self.rank: dict[bytes, int] = {_END.strip(): 0}
-        self.first = np.zeros(1, np.int64)
-        self.length = np.ones(1, np.int64)
-        self.flat = np.zeros(1, np.int32)
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Add words. Letters followed by punctuation are two pieces to the tokenizer, whose
-        ids are joined here, so that a word is merged once whatever follows it."""
-        parts = {w: m.groups() for w in words if (m := _LETTERS_THEN_MARKS.match(w))}
-        pieces = {p for two in parts.values() for p in two if p not in self.rank}
-        self._merge(list(pieces.union(w for w in words if w not in parts and w not in self.rank)))
-        parts = {w: two for w, two in parts.items() if w not in self.rank}
-        if parts:
-            at = np.array([[self.rank[a], self.rank[b]] for a, b in parts.values()]).ravel()
-            first, length = self.first[at], self.length[at]
-            ends = np.cumsum(length)
-            ids = self.flat[np.arange(ends[-1]) + np.repeat(first - ends + length, length)]
-            self._append(list(parts), ids, length.reshape(-1, 2).sum(axis=1))
-
-    def _append(self, words: list[bytes], ids: np.ndarray, length: np.ndarray) -> None:
-        begin = len(self.flat)
-        self.first = np.concatenate([self.first, begin + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, ids])
-        self.rank.update(zip(words, range(len(self.rank), len(self.rank) + len(words))))
-
-    def _merge(self, words: list[bytes]) -> None:
-        if not words:
-            return
-        plain = [w for w in words if b"<|" not in w]
-        special = [w for w in words if b"<|" in w]
-        # A special token ends the text before it, so one call encodes many words apart.
-        flat, ends = [], []
-        for i in range(0, len(plain), 2000):
-            ids = self.tokenizer.encode(_APART.join(plain[i:i + 2000]).decode(), add_special_tokens=False).ids
+        mark = np.frombuffer(_END.strip(), np.uint8)
+        self.known = _word_hashes(mark, np.zeros(1, int), np.ones(1, int))  # hashes in order
+        self.rank = np.zeros(1, np.int64)  # entry of each
+        self.pieces: dict[bytes, int] = {}
+        self.first, self.length, self.flat = _Growing(np.int64), _Growing(np.int64), _Growing(np.int32)
+        self._append(np.zeros(1, np.int32), np.ones(1, np.int64))
+
+    def _append(self, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
+        begin, entry = self.flat.size, self.first.size
+        self.first.extend(begin + np.cumsum(length) - length)
+        self.length.extend(length)
+        self.flat.extend(ids)
+        return np.arange(entry, entry + len(length))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, length = self.first.data[at], self.length.data[at]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat.data[np.arange(total) + np.repeat(first - ends + length, length)], length
+
+    def _merge_pieces(self, pieces: list[bytes]) -> None:
+        """Runs of Latin letters or of marks are single pieces: only the merges are left to do."""
+        tokenize, flat, length = self.tokenizer.model.tokenize, [], []
+        for p in pieces:
+            ids = [t.id for t in tokenize(p.decode().translate(self.spelling))]
+            flat += ids
+            length.append(len(ids))
+        self.pieces.update(zip(pieces, self._append(np.array(flat, np.int32), np.array(length, np.int64)).tolist()))
+
+    def _encode_words(self, words: list[bytes]) -> np.ndarray:
+        """Any words, whole, many in a call: a special token ends the text before it."""
+        flat, length = [], []
+        for i in range(0, len(words), 2000):
+            part = words[i:i + 2000]
+            if any(b"<|" in w for w in part):
+                for w in part:
+                    flat.append(np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.int32))
+                    length.append([len(flat[-1])])
+                continue
+            ids = self.tokenizer.encode(_APART.join(part).decode(), add_special_tokens=False).ids
             ids = np.array(ids + [self.apart], np.int32)
-            cut = np.flatnonzero(ids == self.apart)
             flat.append(ids[ids != self.apart])
-            ends.append(np.diff(cut, prepend=-1) - 1)
-        for w in special:
-            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.int32)
-            flat.append(ids)
-            ends.append(np.array([len(ids)]))
-        self._append(plain + special, np.concatenate(flat), np.concatenate(ends))
+            length.append(np.diff(np.flatnonzero(ids == self.apart), prepend=-1) - 1)
+        return self._append(np.concatenate(flat), np.concatenate(length).astype(np.int64))
+
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """Entries of new words."""
+        entry = np.empty(len(words), np.int64)
+        split = list(map(_LETTERS_THEN_MARKS.match, words))
+        plain = [i for i, m in enumerate(split) if m]
+        if plain:
+            letters, marks = zip(*[split[i].groups() for i in plain])
+            new = {*letters, *marks}.difference(self.pieces, (b"",))
+            if new:
+                self._merge_pieces(list(new))
+            two = np.empty((len(plain), 2), np.int64)
+            two[:, 0] = list(map(self.pieces.__getitem__, letters))
+            two[:, 1] = [self.pieces[m] if m else -1 for m in marks]
+            two = two.ravel()
+            ids, length = self._gather(two[two >= 0])
+            size = np.zeros(len(two), np.int64)
+            size[two >= 0] = length
+            entry[plain] = self._append(ids, size.reshape(-1, 2).sum(axis=1))
+        other = [i for i, m in enumerate(split) if not m]
+        if other:
+            entry[other] = self._encode_words([words[i] for i in other])
+        return entry
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in a row, each text followed by ``end_id``, and the number of ids of each."""
         # The tokenizer lower-cases, but not its special tokens.
-        texts = [t.lower() if b"<|" not in t else t for t in texts]
-        words = (_END.join(texts) + _END).split()
-        if len(self.rank) > self.limit:
+        data = np.frombuffer(bytearray().join(t + _END for t in (t if b"<|" in t else t.lower() for t in texts)), np.uint8)
+        second = data[1:]
+        second[(data[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)] += 0x20  # A-grave to Thorn
+        edge = np.flatnonzero(np.diff(_IN_WORD[data], prepend=False, append=False))
+        start, end = edge[::2], edge[1::2]
+        which, distinct = pd.factorize(_word_hashes(data, start, end))
+        if len(self.known) + len(distinct) > self.limit:
             self.clear()
-        found = list(map(self.rank.get, words))
-        if None in found:
-            self._learn(list({w for w, r in zip(words, found) if r is None}))
-            found = map(self.rank.__getitem__, words)
-        at = np.fromiter(found, np.int64, len(words))
-        first, length = self.first[at], self.length[at]
-        ends = np.cumsum(length)
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(first - ends + length, length)]
-        stops = ends[at == 0]
+        at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+        entry, lack = self.rank[at], np.flatnonzero(self.known[at] != distinct)
+        if len(lack):
+            some = np.zeros(len(distinct), np.int64)
+            some[which] = np.arange(len(which))  # a place of each word
+            raw = data.tobytes()
+            a, b = start[some[lack]].tolist(), end[some[lack]].tolist()
+            entry[lack] = self._learn([raw[x:y] for x, y in zip(a, b)])
+            order = lack[np.argsort(distinct[lack])]
+            to = np.searchsorted(self.known, distinct[order])
+            self.known = np.insert(self.known, to, distinct[order])
+            self.rank = np.insert(self.rank, to, entry[order])
+        ids, length = self._gather(entry[which])
+        stops = np.cumsum(length)[data[start] == 0xFF]
         ids[stops - 1] = end_id
         return ids, np.diff(stops, prepend=0)
 
 
-#: Stands between texts; the byte is in no UTF-8 text.
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.data, self.size = np.zeros(1 << 16, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(need, self.data.dtype)])
+        self.data[self.size:need] = values
+        self.size = need
+
+
+#: Stands between texts and has one id; the byte is in no UTF-8 text.
 _END = b" \xff "
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+_rng = np.random.Generator(np.random.PCG64(7))
+_BYTE_CODE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=2)
+def _powers(n: int, base: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial over its bytes' codes, from running sums."""
+    n = 1 << (len(data)).bit_length()  # few sizes of power tables
+    run = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_CODE[data] * _powers(n, _BASE)[:len(data)], out=run[1:])
+    return mix64((run[end] - run[start]) * _powers(n, pow(_BASE, -1, 1 << 64))[start])
 
 
 @functools.lru_cache(maxsize=1)
@@ -256,7 +328,7 @@ def _pages(path: str, end_id: int, page_ids: int) -> Callable[[Iterator[pa.Recor
             return out
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODE_BYTES):
                 ids, counts = cache.encode(as_bytes(part.column("text")), end_id)
                 doc_ids = part.column("doc_id").to_pylist()
                 ends = np.cumsum(counts)
