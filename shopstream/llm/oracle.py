@@ -69,4 +69,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2, "op4_decontamination": OP4}
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(x, ' ') AS sh
+  FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: w[i:i+4])
+                                   WHEN len(w) > 0 THEN [w] ELSE [] END) AS x FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT a, b FROM edges
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+lowest AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id))::BIGINT AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN lowest ON a = doc_id
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2, "op4_decontamination": OP4,
+                                 "op10_parity_join": OP10}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import decontamination, langid, mixing, quality, token_files, toxicity
-from shopstream.llm.common import documents
+from shopstream.llm import chat, decontamination, fingerprints, langid, mixing, parity_join, quality, token_files, toxicity
+from shopstream.llm.common import documents, ready
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,16 +35,32 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(docs, langid.train(docs))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = ready(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat.repair_conversations(turns).drop("segment")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.link_components(documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_langid": op6_langid,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
+    "op10_parity_join": op10_parity_join,
 }
