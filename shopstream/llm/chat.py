@@ -233,7 +233,7 @@ def _segments(rows: pd.DataFrame) -> pd.DataFrame:
     pieces, out = _pieces(rows), []
     codes = role_codes(rows["role"])
     texts, turns = rows["text"].tolist(), [None if pd.isna(t) else int(t) for t in rows["turn"]]
-    place = ((rows["part"].astype(np.int64) << 40) + rows["seq"]).tolist()
+    place = (rows["part"].astype(np.int64) * (1 << 40) + rows["seq"]).tolist()
     for k, (a, b) in enumerate(pieces):
         if k in (0, len(pieces) - 1):
             side = "f" if k == 0 else "l"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import chat, decontamination, fingerprints, langid, mixing, parity_join, quality, token_files, toxicity
+from shopstream.llm import chat, decontamination, fingerprints, langid, mixing, parity_join, passages, quality, token_files, toxicity
 from shopstream.llm.common import documents, ready
 
 
@@ -18,6 +18,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -56,6 +60,7 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
+    "op3_passages": op3_passages,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_langid": op6_langid,
