@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one Python step handles at a time, inside one Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
