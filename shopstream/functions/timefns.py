@@ -34,14 +34,26 @@ def ntz_epoch_millis(col: str | Column) -> Column:
     return day_ms + time_ms
 
 
+#: Epoch seconds of the first and the last second of years 1 to 9999.
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def odd_time(millis: str | Column = "timestamp") -> Column:
+    """True for a time that is there but outside years 1 to 9999 (for example microseconds sent as
+    milliseconds)."""
+    seconds = (_c(millis) / F.lit(1000)).cast("bigint")
+    return F.coalesce(~seconds.between(_FIRST_SECOND, _LAST_SECOND), F.lit(False))
+
+
 def event_time(millis: str | Column = "timestamp") -> Column:
     """Event time from epoch milliseconds, truncated to whole seconds.
 
     Integer division truncates toward zero like the original seconds
-    conversion did, so -1 ms maps to the epoch; null stays null.
+    conversion did, so -1 ms maps to the epoch; null stays null, and a time
+    outside years 1 to 9999 is null instead of stopping the job.
     """
-    m = _c(millis)
-    return F.timestamp_seconds((m / F.lit(1000)).cast("bigint"))
+    seconds = (_c(millis) / F.lit(1000)).cast("bigint")
+    return F.timestamp_seconds(F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds))
 
 
 def utc_wall_clock(col: str | Column) -> Column:
@@ -58,6 +70,17 @@ def utc_day(col: str | Column) -> Column:
     return F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int"))
 
 
+def local_wall_clock(col: str | Column, zone: str = "UTC") -> Column:
+    """An instant as TIMESTAMP_NTZ holding the wall clock of ``zone``, whatever the session's zone."""
+    at = utc_wall_clock(col)
+    return at if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), at)
+
+
+def local_day(col: str | Column, zone: str = "UTC") -> Column:
+    """The calendar day of an instant in ``zone``."""
+    return utc_day(col) if zone == "UTC" else F.to_date(local_wall_clock(col, zone))
+
+
 def window_label(start: str | Column, end: str | Column) -> Column:
     """``HH:mm-HH:mm`` label of a window, as the dashboard shows it."""
     return F.concat(

@@ -1,14 +1,20 @@
-"""Job entry points (spark-submit): the daily batch job and the realtime job.
+"""Job entry points (spark-submit): the daily batch job, the realtime job and the landing job.
 
 Daily job, for one or many days in one pass:
     landing JSON (dt=/hour=) -> warehouse Parquet (dynamic overwrite of those
-    days) -> report, top 10, category sales -> keyed upsert of daily_reports
+    days) -> report, top products and category sales -> keyed upserts
 
 Realtime job:
     messages (Kafka or files) -> window stats -> foreachBatch upsert
 
-    python -m shopstream.plans.jobs daily --landing L --warehouse W --reports R [--date D ...]
-    python -m shopstream.plans.jobs realtime --bootstrap-servers H:P --table T --checkpoint C [--exact-uv]
+Landing job:
+    messages (Kafka or files) -> text files under dt=/hour= of arrival
+
+    python -m shopstream.plans.jobs daily --landing L --warehouse W --reports R [--top-products T]
+        [--category-sales C] [--date D ...] [--timezone Z] [--jdbc-url U --jdbc-table T ...]
+    python -m shopstream.plans.jobs realtime (--bootstrap-servers H:P | --path DIR) --checkpoint C
+        (--table T | --jdbc-url U) [--mode M] [--exact-uv] [--kafka-option k=v ...]
+    python -m shopstream.plans.jobs landing (--bootstrap-servers H:P | --path DIR) --landing L --checkpoint C
 """
 
 from __future__ import annotations
@@ -18,21 +24,25 @@ import datetime as dt
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from zoneinfo import ZoneInfo
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.functions.money import odd_amount
+from shopstream.functions.timefns import odd_time
 from shopstream.operators import daily
-from shopstream.schema import DAILY_KEYS
+from shopstream.schema import DAILY_KEYS, DAILY_REPORTS_DDL, REALTIME_STATS_DDL
 from shopstream.sources import files
-from shopstream.sources.tables import upsert_files, upsert_jdbc
+from shopstream.sources.tables import ensure_jdbc_table, upsert_files, upsert_jdbc
 
 log = logging.getLogger("shopstream.jobs")
 
 
-def default_dates() -> list[str]:
-    """Yesterday (UTC), the day the nightly run reports on."""
-    return [(dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()]
+def default_dates(zone: str = "UTC") -> list[str]:
+    """Yesterday in ``zone``, the day the nightly run reports on."""
+    return [(dt.datetime.now(ZoneInfo(zone)).date() - dt.timedelta(days=1)).isoformat()]
 
 
 @dataclass
@@ -58,11 +68,20 @@ def land_to_warehouse(
     raw = files.read_raw_landing(spark, landing, dates, suffix=suffix).drop("hour")
     many_days = dates is None or len(dates) > 1
     files.write_warehouse(
-        raw.withColumn("dt", F.date_format("dt", "yyyy-MM-dd")), warehouse, cluster_days=many_days
+        raw.withColumn("dt", F.date_format("dt", "yyyy-MM-dd")), warehouse, cluster_days=many_days, dates=dates
     )
     return files.read_warehouse(spark, warehouse, dates)
 
 
+def _with_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("report_month", F.date_format("report_date", "yyyy-MM"))
+
+
+def _store_days(rows: DataFrame, path: str, many: bool = False) -> None:
+    """Put the days of ``rows`` into the file table, in place of what it has for them."""
+    upsert_files(_with_month(rows), path, DAILY_KEYS, "report_month", many_per_key=many)
+
+
 def run_daily(
     spark: SparkSession,
     landing: str,
@@ -71,71 +90,132 @@ def run_daily(
     dates: Sequence[str] | None = None,
     jdbc: dict[str, str] | None = None,
     suffix: str = files.LANDING_SUFFIX,
+    top_products: str | None = None,
+    category_sales: str | None = None,
 ) -> DailyOutputs:
     """The nightly job. ``dates=None`` means every landed day.
 
-    The report is upserted by ``report_date`` into a Parquet table at
-    ``reports`` and/or a JDBC table (``jdbc`` has url, dbtable and
-    credentials). A failed write raises.
+    The report is upserted by ``report_date`` into a file table at ``reports``
+    and/or a JDBC table (``jdbc`` has url, dbtable, credentials and optionally
+    dialect, max_connections and ddl). The ten best products and the sales by
+    category go to file tables at ``top_products`` and ``category_sales``. A
+    failed write raises.
     """
     rows = land_to_warehouse(spark, landing, warehouse, dates, suffix)
     out = daily_outputs(rows)
-    if reports:
-        upsert_files(
-            out.report.withColumn("report_month", F.date_format("report_date", "yyyy-MM")),
-            reports, DAILY_KEYS, "report_month",
-        )
-    if jdbc:
-        opts = dict(jdbc)
-        url, table = opts.pop("url"), opts.pop("dbtable")
-        dialect = opts.pop("dialect", "merge")
-        upsert_jdbc(out.report, url, table, DAILY_KEYS, opts, dialect=dialect)
-    log.info("daily report written for %s", "all days" if dates is None else ",".join(dates))
+    report = out.report
+    if reports and jdbc:
+        report = report.persist(StorageLevel.MEMORY_AND_DISK)  # a row a day, for both sinks
+    try:
+        if reports:
+            _store_days(report, reports)
+        if jdbc:
+            opts = dict(jdbc)
+            url, table = opts.pop("url"), opts.pop("dbtable")
+            dialect, most, ddl = opts.pop("dialect", "merge"), int(opts.pop("max_connections", 8)), opts.pop("ddl", None)
+            if ddl:
+                ensure_jdbc_table(spark, url, table, ddl, opts)
+            upsert_jdbc(report, url, table, DAILY_KEYS, opts, dialect=dialect, max_connections=most)
+    finally:
+        report.unpersist()
+    if top_products:
+        _store_days(out.top_products, top_products, many=True)
+    if category_sales:
+        _store_days(out.category_sales, category_sales, many=True)
+    odd = rows.agg(F.count_if(odd_time()).alias("odd_times"), F.count_if(odd_amount("amount")).alias("odd_amounts")).first()
+    log.info("daily report written for %s; %s", "all days" if dates is None else ",".join(dates), odd.asDict())
     return out
 
 
-def _main(argv: Sequence[str] | None = None) -> None:
-    from shopstream.session import checkpoint_root
-    from shopstream.streaming.monitor import ProgressLogger
-    from shopstream.streaming.realtime import (
-        read_message_stream,
-        realtime_table_sink,
-        start_realtime_stats,
-    )
+def _pairs(values: Sequence[str] | None) -> dict[str, str]:
+    return dict(v.split("=", 1) for v in values or [])
+
 
+def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="shopstream.plans.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
-    d = sub.add_parser("daily")
+    common = argparse.ArgumentParser(add_help=False)
+    common.add_argument("--timezone", default="UTC", help="zone of landing days and of the default date")
+    jdbc = argparse.ArgumentParser(add_help=False)
+    jdbc.add_argument("--jdbc-url")
+    jdbc.add_argument("--jdbc-table")
+    jdbc.add_argument("--jdbc-dialect", default="merge", choices=["merge", "mysql"])
+    jdbc.add_argument("--jdbc-connections", type=int, default=8)
+    jdbc.add_argument("--jdbc-option", action="append", metavar="K=V", help="user, password, driver, ...")
+    jdbc.add_argument("--jdbc-create", action="store_true", help="create the table if the database has none")
+    source = argparse.ArgumentParser(add_help=False)
+    source.add_argument("--bootstrap-servers")
+    source.add_argument("--topic", default="user_behavior")
+    source.add_argument("--path", help="directory of message files instead of Kafka")
+    source.add_argument("--starting-offsets", default="latest")
+    source.add_argument("--kafka-option", action="append", metavar="K=V", help="for example maxOffsetsPerTrigger=100000")
+    source.add_argument("--checkpoint", required=True, help="the query's own folder on shared storage")
+    d = sub.add_parser("daily", parents=[common, jdbc])
     d.add_argument("--landing", required=True)
     d.add_argument("--warehouse", required=True)
-    d.add_argument("--reports", required=True)
-    d.add_argument("--date", action="append", help="yyyy-MM-dd; default yesterday")
+    d.add_argument("--reports")
+    d.add_argument("--top-products")
+    d.add_argument("--category-sales")
+    d.add_argument("--date", action="append", help="yyyy-MM-dd; default yesterday in the zone")
     d.add_argument("--suffix", default=files.LANDING_SUFFIX)
-    r = sub.add_parser("realtime")
-    r.add_argument("--bootstrap-servers")
-    r.add_argument("--topic", default="user_behavior")
-    r.add_argument("--path", help="directory of message files instead of Kafka")
-    r.add_argument("--table", required=True)
-    r.add_argument("--checkpoint")
+    r = sub.add_parser("realtime", parents=[common, jdbc, source])
+    r.add_argument("--table", help="file table; or give --jdbc-url")
     r.add_argument("--mode", default="update", choices=["update", "complete", "append"])
     r.add_argument("--exact-uv", action="store_true",
                    help="exact distinct users per window (append mode, final rows)")
-    args = ap.parse_args(argv)
+    r.add_argument("--ahead-rows", help="folder for rows whose clock is far ahead")
+    land = sub.add_parser("landing", parents=[common, source])
+    land.add_argument("--landing", required=True)
+    return ap
+
 
+def _main(argv: Sequence[str] | None = None) -> None:
+    from shopstream.streaming.monitor import ProgressLogger
+    from shopstream.streaming.realtime import (
+        read_message_stream,
+        realtime_jdbc_sink,
+        realtime_table_sink,
+        start_ahead_rows,
+        start_raw_landing,
+        start_realtime_stats,
+    )
+
+    ap = _parser()
+    args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    spark = SparkSession.builder.appName(f"shopstream-{args.job}").getOrCreate()
+    spark = SparkSession.builder.appName(f"shopstream-{args.job}") \
+        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.job == "daily":
-        run_daily(spark, args.landing, args.warehouse, args.reports, args.date or default_dates(),
-                  suffix=args.suffix)
-    else:
-        spark.streams.addListener(ProgressLogger())
-        messages = read_message_stream(spark, bootstrap_servers=args.bootstrap_servers,
-                                       topic=args.topic, path=args.path)
-        ckpt = args.checkpoint or f"{checkpoint_root(spark)}/shopstream/realtime"
-        mode = "append" if args.exact_uv else args.mode
+        jdbc = None
+        if args.jdbc_url:
+            jdbc = {"url": args.jdbc_url, "dbtable": args.jdbc_table or "daily_reports", "dialect": args.jdbc_dialect,
+                    "max_connections": str(args.jdbc_connections), **_pairs(args.jdbc_option),
+                    **({"ddl": DAILY_REPORTS_DDL} if args.jdbc_create else {})}
+        if not (args.reports or jdbc):
+            ap.error("daily needs --reports or --jdbc-url")
+        run_daily(spark, args.landing, args.warehouse, args.reports, args.date or default_dates(args.timezone),
+                  jdbc=jdbc, suffix=args.suffix, top_products=args.top_products, category_sales=args.category_sales)
+        return
+    spark.streams.addListener(ProgressLogger())
+    messages = read_message_stream(spark, bootstrap_servers=args.bootstrap_servers, topic=args.topic, path=args.path,
+                                   starting_offsets=args.starting_offsets, kafka_options=_pairs(args.kafka_option))
+    if args.job == "landing":
+        start_raw_landing(messages, args.landing, args.checkpoint, zone=args.timezone).awaitTermination()
+        return
+    mode = "append" if args.exact_uv else args.mode
+    if args.jdbc_url:
+        table, props = args.jdbc_table or "realtime_stats", _pairs(args.jdbc_option)
+        if args.jdbc_create:
+            ensure_jdbc_table(spark, args.jdbc_url, table, REALTIME_STATS_DDL, props)
+        sink = realtime_jdbc_sink(args.jdbc_url, table, props, args.jdbc_dialect, args.jdbc_connections)
+    elif args.table:
         sink = realtime_table_sink(args.table, skip_unchanged=(mode == "complete"))
-        start_realtime_stats(messages, sink, ckpt,
-                             mode=mode, exact_uv=args.exact_uv).awaitTermination()
+    else:
+        ap.error("realtime needs --table or --jdbc-url")
+    if args.ahead_rows:
+        start_ahead_rows(messages, args.ahead_rows, f"{args.checkpoint.rstrip('/')}-ahead")
+    start_realtime_stats(messages, sink, args.checkpoint, mode=mode, exact_uv=args.exact_uv)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

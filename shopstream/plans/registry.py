@@ -9,6 +9,7 @@ does not depend on the session time zone.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,11 @@ from shopstream.operators import daily
 from shopstream.operators.windows import window_stats, with_event_time
 from shopstream.plans.jobs import run_daily
 from shopstream.plans import oracle, serving
-from shopstream.schema import BEHAVIOR_COLUMNS, DAILY_KEYS
+from shopstream.schema import BEHAVIOR_COLUMNS, DAILY_KEYS, REALTIME_KEYS
 from shopstream.session import scratch_path
 from shopstream.sources import files
 from shopstream.sources.events import load_behavior
-from shopstream.sources.tables import upsert_files
+from shopstream.sources.tables import list_names, move_path, read_serving_files, upsert_files
 from shopstream.streaming.realtime import (
     read_message_stream,
     realtime_table_sink,
@@ -32,6 +33,9 @@ from shopstream.streaming.realtime import (
     start_realtime_stats,
 )
 
+#: Days that the dated reads ask for.
+DATED_DAYS = 3
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,16 +86,30 @@ def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_report(load_behavior(spark, sf_dir))
 
 
+def _uv_checked(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """Window stats whose approximate uv is given as ``uv_close``: within a fifth of the exact count, or two.
+
+    Four standard errors of the estimator (0.05); windows here hold few users, where it is off by one at most.
+    """
+    other = exact.select(F.col("window_start").alias("exact_start"), F.col("uv").alias("exact_uv"))
+    off = F.abs(F.col("uv") - F.col("exact_uv"))
+    return approx.join(other, F.col("window_start") == F.col("exact_start"), "left").select(
+        "window_start", "window_end", "pv",
+        F.coalesce(off <= F.greatest(F.lit(2.0), F.col("exact_uv") * 0.2), F.lit(False)).alias("uv_close"), "sales")
+
+
 def q_window_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same windows with the approximate (HyperLogLog) uv the stream uses."""
-    return _ntz_windows(window_stats(load_behavior(spark, sf_dir), exact_uv=False))
+    """Same windows with the approximate (HyperLogLog) uv the stream uses, held against the exact count."""
+    behavior = load_behavior(spark, sf_dir)
+    return _ntz_windows(_uv_checked(window_stats(behavior, exact_uv=False), window_stats(behavior)))
 
 
 def q_window_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate uv from per-minute HLL sketches unioned per window (opt-in
-    estimator; each row is aggregated once, not once per window)."""
-    return _ntz_windows(
-        window_stats(load_behavior(spark, sf_dir), exact_uv=False, strategy="panes"))
+    estimator; each row is aggregated once, not once per window), held against the exact count."""
+    behavior = load_behavior(spark, sf_dir)
+    return _ntz_windows(_uv_checked(
+        window_stats(behavior, exact_uv=False, strategy="panes"), window_stats(behavior)))
 
 
 def q_window_stats_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,46 +118,84 @@ def q_window_stats_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz_windows(window_stats(load_behavior(spark, sf_dir), strategy="expand"))
 
 
+def _stored_windows(spark: SparkSession, sf_dir: str) -> str:
+    """Window stats upserted into a serving table, as the realtime job keeps it."""
+    table = scratch_path(spark, "serving-windows")
+    rows = window_stats(load_behavior(spark, sf_dir))
+    upsert_files(rows.withColumn("window_day", utc_day("window_start")), table, REALTIME_KEYS, "window_day")
+    return table
+
+
+def _stored_reports(spark: SparkSession, sf_dir: str) -> str:
+    table = scratch_path(spark, "serving-reports")
+    rows = q_daily_report(spark, sf_dir).withColumn("report_month", F.date_format("report_date", "yyyy-MM"))
+    upsert_files(rows, table, DAILY_KEYS, "report_month")
+    return table
+
+
 def q_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dashboard view: the last 30 windows, oldest first, labelled HH:mm-HH:mm."""
-    return serving.latest_windows(q_window_stats(spark, sf_dir))
+    """Dashboard view: the last 30 windows of the serving table, oldest first, labelled HH:mm-HH:mm."""
+    newest = serving.newest_rows(spark, _stored_windows(spark, sf_dir), serving.REALTIME_POINTS)
+    return serving.latest_windows(_ntz_windows(newest))
 
 
 def q_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dashboard view: the last 30 daily reports, oldest first, formatted."""
-    return serving.daily_series(q_daily_report(spark, sf_dir))
+    """Dashboard view: the last 30 daily reports of the serving table, oldest first, formatted."""
+    return serving.daily_series(serving.newest_rows(spark, _stored_reports(spark, sf_dir), serving.DAILY_POINTS))
 
 
 def q_funnel_last7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dashboard view: users per step over the last 7 days."""
-    return serving.funnel_last(q_daily_report(spark, sf_dir))
+    """Dashboard view: users per step over the last 7 days of the serving table."""
+    return serving.funnel_last(serving.newest_rows(spark, _stored_reports(spark, sf_dir), serving.FUNNEL_POINTS))
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_path(spark, "warehouse")
+    day = F.date_format(utc_day(event_time("timestamp")), "yyyy-MM-dd")
+    files.write_warehouse(load_behavior(spark, sf_dir).withColumn("dt", day), base, cluster_days=True)
+    return base
 
 
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behavior rows written to the dt-partitioned warehouse and read back."""
-    behavior = load_behavior(spark, sf_dir)
-    base = scratch_path(spark, "warehouse")
-    files.write_warehouse(
-        behavior.withColumn("dt", F.date_format(utc_day(event_time("timestamp")), "yyyy-MM-dd")),
-        base,
-        cluster_days=True,
-    )
-    return files.read_warehouse(spark, base).select(*BEHAVIOR_COLUMNS, "dt")
+    return files.read_warehouse(spark, _warehouse(spark, sf_dir)).select(*BEHAVIOR_COLUMNS, "dt")
 
 
-def q_raw_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages landed as JSON lines under dt/hour, scanned with the fixed schema.
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Messages landed as JSON lines under dt/hour.
 
     The test tables have no arrival clock, so event time picks the directory.
     """
-    behavior = load_behavior(spark, sf_dir)
     base = scratch_path(spark, "landing")
     files.write_raw_landing(
-        behavior.select(message_json().alias("value"), "timestamp"),
+        load_behavior(spark, sf_dir).select(message_json().alias("value"), "timestamp"),
         base,
         arrival=event_time("timestamp"),
     )
-    return files.read_raw_landing(spark, base)
+    return base
+
+
+def _first_days(spark: SparkSession, sf_dir: str, n: int = DATED_DAYS) -> list[str]:
+    """The first ``n`` days of the table's time, whether they have rows or not."""
+    low = load_behavior(spark, sf_dir).agg(F.min(utc_day(event_time("timestamp")))).first()[0]
+    return [(low + datetime.timedelta(days=i)).isoformat() for i in range(n)] if low else []
+
+
+def q_raw_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed as JSON lines under dt/hour, scanned with the fixed schema."""
+    return files.read_raw_landing(spark, _landed(spark, sf_dir))
+
+
+def q_landing_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nightly run's read of the landing: given days only, the other folders are not listed."""
+    base = _landed(spark, sf_dir)
+    return files.read_raw_landing(spark, base, dates=_first_days(spark, sf_dir)).drop("hour")
+
+
+def q_warehouse_day_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given days of the warehouse."""
+    base = _warehouse(spark, sf_dir)
+    return files.read_warehouse(spark, base, dates=_first_days(spark, sf_dir)).select(*BEHAVIOR_COLUMNS, "dt")
 
 
 def _message_files(spark: SparkSession, sf_dir: str) -> str:
@@ -164,31 +220,23 @@ def _run_stream(spark: SparkSession, src: str, table: str, mode: str,
         raise RuntimeError(str(query.exception()))
 
 
-def _stream_in_pieces(spark: SparkSession, sf_dir: str, table: str, pieces: int) -> str:
-    """Feed the stream the rows in ``pieces`` consecutive time spans: each span
-    lands as new files and is processed by the next trigger of the same query
-    (same checkpoint), like traffic arriving over time."""
-    src = scratch_path(spark, "messages")
+def _stream_in_pieces(spark: SparkSession, rows: DataFrame, table: str, mode: str = "update") -> str:
+    """Feed the stream the rows of ``piece`` 0, 1, ...: each piece's folder is
+    moved in before the next trigger of the same query (same checkpoint), like
+    traffic arriving over time. The messages are written once."""
+    src, draft = scratch_path(spark, "messages"), scratch_path(spark, "message-pieces")
     checkpoint = scratch_path(spark, "stream-ckpt")
-    behavior = load_behavior(spark, sf_dir)
-    lo, hi = behavior.agg(F.min("timestamp"), F.max("timestamp")).first()
-    if lo is None:                       # no timed rows: one piece with everything
-        encode_messages(behavior).write.mode("append").text(src)
-        _run_stream(spark, src, table, "update", checkpoint)
-        return src
-    step = (hi - lo) // pieces + 1
-    for i in range(pieces):
-        span = (F.col("timestamp") >= lo + i * step) & (F.col("timestamp") < lo + (i + 1) * step)
-        if i == 0:
-            span = span | F.col("timestamp").isNull()    # every row is fed once
-        encode_messages(behavior.where(span)).write.mode("append").text(src)
-        _run_stream(spark, src, table, "update", checkpoint)
-    return src
+    rows.select(message_json().alias("value"), "piece").write.partitionBy("piece").text(draft)
+    for piece in sorted((n for n in list_names(spark, draft) if n.startswith("piece=")), key=lambda n: int(n[6:])):
+        move_path(spark, f"{draft}/{piece}", f"{src}/{piece.replace('=', '-')}")
+        _run_stream(spark, f"{src}/*", table, mode, checkpoint)
+    return f"{src}/*"
 
 
-def _stream_result(spark: SparkSession, table: str) -> DataFrame:
-    # uv is approximate in a stream; the windows, pv and sales are exact.
-    return _ntz_windows(spark.read.parquet(table)).select("window_start", "window_end", "pv", "sales")
+def _stream_result(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    # uv is approximate in a stream: it is held against the exact count.
+    return _ntz_windows(_uv_checked(read_serving_files(spark, table).drop("window_day"),
+                                    window_stats(load_behavior(spark, sf_dir))))
 
 
 def q_stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +245,7 @@ def q_stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _message_files(spark, sf_dir)
     table = scratch_path(spark, "realtime-stats")
     _run_stream(spark, src, table, "complete")
-    return _stream_result(spark, table)
+    return _stream_result(spark, sf_dir, table)
 
 
 def q_stream_window_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +254,7 @@ def q_stream_window_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _message_files(spark, sf_dir)
     table = scratch_path(spark, "realtime-stats")
     _run_stream(spark, src, table, "append", exact_uv=True)
-    return _ntz_windows(spark.read.parquet(table)).select(
+    return _ntz_windows(read_serving_files(spark, table)).select(
         "window_start", "window_end", "pv", "uv", "sales")
 
 
@@ -216,9 +264,34 @@ def q_realtime_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     then run again from scratch over the same input into the same table: the
     keyed upsert keeps one row per window with its final value."""
     table = scratch_path(spark, "realtime-stats")
-    src = _stream_in_pieces(spark, sf_dir, table, pieces=4)
+    behavior = load_behavior(spark, sf_dir)
+    lo, hi = behavior.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = ((hi or 0) - (lo or 0)) // 4 + 1
+    piece = F.coalesce(F.floor((F.col("timestamp") - F.lit(lo or 0)) / F.lit(step)), F.lit(0)).cast("int")
+    src = _stream_in_pieces(spark, behavior.withColumn("piece", piece), table)
     _run_stream(spark, src, table, "update")
-    return _stream_result(spark, table)
+    return _stream_result(spark, sf_dir, table)
+
+
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the rows (by their second) arrive after all others."""
+    second = F.floor(F.col("timestamp") / F.lit(1000))
+    late = F.coalesce(F.pmod(second, F.lit(7)) == 3, F.lit(False))
+    return load_behavior(spark, sf_dir).withColumn("piece", late.cast("int"))
+
+
+def q_stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data in update mode: rows behind the watermark no longer change a closed window."""
+    table = scratch_path(spark, "realtime-stats")
+    _stream_in_pieces(spark, _late_rows(spark, sf_dir), table, "update")
+    return _ntz_windows(read_serving_files(spark, table)).select("window_start", "window_end", "pv", "sales")
+
+
+def q_stream_late_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data in complete mode: every row counts, however late."""
+    table = scratch_path(spark, "realtime-stats")
+    _stream_in_pieces(spark, _late_rows(spark, sf_dir), table, "complete")
+    return _stream_result(spark, sf_dir, table)
 
 
 def q_landing_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,21 +315,33 @@ def q_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "daily-reports")
     upsert_files(report, table, DAILY_KEYS, "report_month")
     upsert_files(report, table, DAILY_KEYS, "report_month")
-    return spark.read.parquet(table).drop("report_month")
+    return read_serving_files(spark, table).drop("report_month")
+
+
+def _nightly(spark: SparkSession, sf_dir: str, **outputs: str) -> None:
+    run_daily(spark, _landed(spark, sf_dir), scratch_path(spark, "job-warehouse"), dates=None, **outputs)
 
 
 def q_daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole nightly job over every landed day: landing JSON -> warehouse
     Parquet -> report -> upsert; returns the upserted report table."""
-    landing = scratch_path(spark, "job-landing")
-    files.write_raw_landing(
-        load_behavior(spark, sf_dir).select(message_json().alias("value"), "timestamp"),
-        landing,
-        arrival=event_time("timestamp"),
-    )
-    reports = scratch_path(spark, "job-reports")
-    run_daily(spark, landing, scratch_path(spark, "job-warehouse"), reports, dates=None)
-    return spark.read.parquet(reports).drop("report_month")
+    table = scratch_path(spark, "job-reports")
+    _nightly(spark, sf_dir, reports=table)
+    return read_serving_files(spark, table).drop("report_month")
+
+
+def q_daily_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best products as the nightly job stores them."""
+    table = scratch_path(spark, "job-top-products")
+    _nightly(spark, sf_dir, top_products=table)
+    return read_serving_files(spark, table).drop("report_month")
+
+
+def q_daily_category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by category as the nightly job stores them."""
+    table = scratch_path(spark, "job-category-sales")
+    _nightly(spark, sf_dir, category_sales=table)
+    return read_serving_files(spark, table).drop("report_month")
 
 
 QUERIES: dict[str, Query] = {
@@ -276,12 +361,18 @@ QUERIES: dict[str, Query] = {
     "funnel_last7": q_funnel_last7,
     "parquet_roundtrip": q_parquet_roundtrip,
     "raw_landing_scan": q_raw_landing_scan,
+    "landing_day_scan": q_landing_day_scan,
+    "warehouse_day_read": q_warehouse_day_read,
     "stream_window_stats": q_stream_window_stats,
     "stream_window_stats_exact": q_stream_window_stats_exact,
     "realtime_upsert": q_realtime_upsert,
     "landing_stream_scan": q_landing_stream_scan,
     "daily_upsert": q_daily_upsert,
     "daily_job": q_daily_job,
+    "daily_top_products": q_daily_top_products,
+    "daily_category_sales": q_daily_category_sales,
+    "stream_late_update": q_stream_late_update,
+    "stream_late_complete": q_stream_late_complete,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -294,15 +385,23 @@ ORACLE_SQL: dict[str, str] = {
     "category_sales": oracle.CATEGORY_SALES,
     "daily_report": oracle.DAILY_REPORT,
     "window_stats_expand": oracle.WINDOW_STATS,
+    "window_stats_approx": oracle.WINDOW_STATS_UV_CLOSE,
+    "window_stats_sketch": oracle.WINDOW_STATS_UV_CLOSE,
     "latest_windows": oracle.LATEST_WINDOWS,
     "daily_series": oracle.DAILY_SERIES,
     "funnel_last7": oracle.FUNNEL_LAST7,
     "parquet_roundtrip": oracle.PARQUET_ROUNDTRIP,
     "raw_landing_scan": oracle.RAW_LANDING_SCAN,
-    "stream_window_stats": oracle.WINDOW_STATS_NO_UV,
+    "stream_window_stats": oracle.WINDOW_STATS_UV_CLOSE,
     "stream_window_stats_exact": oracle.WINDOW_STATS_CLOSED,
-    "realtime_upsert": oracle.WINDOW_STATS_NO_UV,
+    "realtime_upsert": oracle.WINDOW_STATS_UV_CLOSE,
     "landing_stream_scan": oracle.JSON_ROUNDTRIP,
     "daily_upsert": oracle.DAILY_REPORT,
     "daily_job": oracle.DAILY_REPORT,
+    "landing_day_scan": oracle.FIRST_DAYS,
+    "warehouse_day_read": oracle.FIRST_DAYS,
+    "daily_top_products": oracle.TOP_PRODUCTS,
+    "daily_category_sales": oracle.CATEGORY_SALES,
+    "stream_late_update": oracle.WINDOW_STATS_LATE,
+    "stream_late_complete": oracle.WINDOW_STATS_UV_CLOSE,
 }

@@ -7,10 +7,11 @@ so the final sort only ever sees N rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions.timefns import window_label
+from shopstream.sources.tables import partition_names, read_serving_files
 
 # How many points the dashboard charts show.
 REALTIME_POINTS = 30
@@ -18,6 +19,23 @@ DAILY_POINTS = 30
 FUNNEL_POINTS = 7
 
 
+def newest_rows(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The newest partitions of a serving table (named by day or month) that together hold ``n`` rows.
+
+    Twice as many partitions are read until they do, so a poll of a dense table
+    reads one or two days whatever its history.
+    """
+    parts = 1
+    whole = read_serving_files(spark, path)
+    total = len(partition_names(spark, path))
+    while parts < total:
+        rows = read_serving_files(spark, path, newest=parts)
+        if rows.limit(n).count() >= n:
+            return rows
+        parts *= 2
+    return whole
+
+
 def latest_windows(stats: DataFrame, n: int = REALTIME_POINTS) -> DataFrame:
     """The last ``n`` windows of ``realtime_stats``, oldest first, with a label.
 

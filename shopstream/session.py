@@ -2,8 +2,8 @@
 
 Intermediate tables, staging directories and streaming checkpoints must live on
 storage every executor can reach. The cluster names that place in
-``spark.checkpoint.dir``; we read it from the session and only pick a local
-directory when it is unset (tests, laptops).
+``spark.checkpoint.dir``; it is read from the session. Only a local master may
+go without (tests, laptops): then a local folder serves.
 """
 
 from __future__ import annotations
@@ -17,29 +17,28 @@ _CONF_KEY = "spark.checkpoint.dir"
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = None,
     app_name: str = "shopstream",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session configured the way the jobs expect.
 
-    UTC session zone (window boundaries and report days are UTC), AQE on so
-    small shuffles coalesce and skewed joins split at runtime, UI off.
+    UTC session zone (window boundaries and report days are UTC) and UI off.
+    Master and shuffle partitions are set only when passed, so what
+    ``spark-submit`` or the site's defaults say holds otherwise.
     """
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.compression.codec", "snappy")
     )
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -47,21 +46,23 @@ def build_session(
     return spark
 
 
+_local_root: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory of the session.
+    """The session's shared scratch folder: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Set to a fresh local directory only if the session has none.
+    Without either, a local master gets a local folder (one for the process);
+    on a cluster executors could not reach that, so it is an error there.
     """
-    root = spark.conf.get(_CONF_KEY, None)
-    if not root:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-        root = sc_dir
+    global _local_root
+    root = spark.conf.get(_CONF_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="shopstream-ckpt-")
-        spark.conf.set(_CONF_KEY, root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CONF_KEY} to a folder that the driver and all executors share")
+        if _local_root is None:
+            _local_root = tempfile.mkdtemp(prefix="shopstream-ckpt-")
+        root = _local_root
     return root.rstrip("/")
 
 

@@ -4,29 +4,35 @@ Re-applying a batch, or a batch with changed values, leaves one row per key
 holding the latest value, so the streaming sink can be retried safely.
 
 ``upsert_files``  a Parquet table partitioned by a coarse column (a day, a
-                  month). Only the partitions the batch touches are rewritten:
-                  old rows whose key is in the batch are dropped (anti join),
-                  the batch is added, the result is written to a staging
-                  directory on shared storage, and then swapped in with a
-                  dynamic partition overwrite. The table is never read and
-                  overwritten by the same lazy plan.
+                  month). Only the partitions the batch touches are rewritten,
+                  into a new version folder; then a small pointer file that
+                  names the folder of each partition is put in place by one
+                  rename. Readers see the table before or after a batch,
+                  never in between, and a crash leaves the old pointer.
 ``upsert_jdbc``   a relational table with a primary key: the batch goes to a
-                  staging table through Spark's JDBC writer (parallel, one
-                  connection per task), then one MERGE (or REPLACE for MySQL)
-                  applies it in a single statement on the driver.
+                  staging table of its own through Spark's JDBC writer
+                  (parallel, one connection per task), then one MERGE (or
+                  REPLACE for MySQL) applies it in a single statement.
+
+Layout of a file table (one writer at a time):
+
+    <path>/version=<id>/<partition_col>=<value>/*.parquet
+    <path>/_pointer/<number>      JSON: partition folder name -> version id
 """
 
 from __future__ import annotations
 
-import re
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.session import checkpoint_root, scratch_path
+#: Partitions one batch may touch. More means that the partition column is not
+#: a coarse one, which is refused rather than cut.
+MAX_TOUCHED = 10_000
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -46,102 +52,167 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None while it does not exist yet."""
-    if not path_exists(spark, path):
-        return None
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target's parent is made if need be."""
+    goal, fs = _hadoop_path(spark, target)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(_hadoop_path(spark, source)[0], goal):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    p, fs = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(x.getPath().getName() for x in fs.listStatus(p))
+
+
+# ---------------------------------------------------------------- the pointer
+
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in list_names(spark, f"{path}/_pointer") if n.isdigit()]
+
+
+def _read_pointer(spark: SparkSession, path: str, name: str) -> dict[str, str]:
+    p, fs = _hadoop_path(spark, f"{path}/_pointer/{name}")
+    stream = fs.open(p)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:          # directory without data files
-        return None
+        data = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+    return json.loads(data.decode())
 
 
-def upsert_files(
-    updates: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partition_col: str,
-    batch_id: int | None = None,
-) -> None:
-    """Merge ``updates`` into the Parquet table at ``path`` by ``keys``.
+def _write_pointer(spark: SparkSession, path: str, name: str, content: dict[str, str]) -> None:
+    """Write beside, then rename: the pointer is there as a whole or not at all."""
+    target, fs = _hadoop_path(spark, f"{path}/_pointer/{name}")
+    draft, _ = _hadoop_path(spark, f"{path}/_pointer/.{name}-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(json.dumps(content, sort_keys=True).encode())
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, True)
+        raise RuntimeError(f"{path} was changed by another writer")
 
-    ``partition_col`` must be a column of ``updates`` and a function of the
-    keys (for example the day of ``window_start``), so a key never moves
-    between partitions. The serving tables hold few rows per partition (one
-    per window or per day), so each touched partition is written by one task.
 
-    With a ``batch_id`` (streaming), the merged partitions are staged under a
-    directory named after the table and the batch. If the job dies while the
-    staged partitions are being swapped in, the replay of that batch finds the
-    complete staging copy and only repeats the swap, so no partition is lost.
-    """
-    spark = updates.sparkSession
-    staging = (
-        f"{checkpoint_root(spark)}/shopstream/upsert/{_table_tag(path)}/batch-{batch_id}"
-        if batch_id is not None
-        else scratch_path(spark, "upsert-staging")
-    )
-    if batch_id is None or not path_exists(spark, f"{staging}/_SUCCESS"):
-        if batch_id is not None:
-            delete_path(spark, staging)          # a partial earlier attempt
-        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # The set of touched partitions is small (days in one batch).
-            touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
-            if not touched:
-                return
-            existing = read_table(spark, path)
-            if existing is None or not _any_partition_exists(spark, path, partition_col, touched):
-                # Nothing to merge with: write the new partitions directly. A
-                # replay finds them and takes the merge path, which is keyed.
-                fresh = updates if existing is None else updates.select(*existing.columns)
-                _overwrite_partitions(fresh.repartition(partition_col), path, partition_col)
-                return
-            old = existing.where(F.col(partition_col).isin(touched))
-            kept = old.join(updates.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(updates.select(*existing.columns))
-            (
-                merged.repartition(partition_col)
-                .write.mode("overwrite")
-                .partitionBy(partition_col)
-                .parquet(staging)
-            )
-        finally:
-            updates.unpersist()
-    _overwrite_partitions(spark.read.parquet(staging), path, partition_col)
-    # Only after a successful swap: a failed swap keeps the staged copy for
-    # the replay of this batch.
-    delete_path(spark, staging)
+def _folders(pointer: dict[str, str], path: str) -> list[str]:
+    return [f"{path}/version={v}/{folder}" for folder, v in sorted(pointer.items())]
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+def _load(spark: SparkSession, path: str, pointer: dict[str, str]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*_folders(pointer, path)).drop("version")
 
 
-_PLAIN = re.compile(r"^[A-Za-z0-9_.-]+$")
+def read_table(spark: SparkSession, path: str, newest: int | None = None) -> DataFrame | None:
+    """The file table at ``path`` as of its last complete batch, or None while it has none.
+
+    ``newest``: only that many partitions, the last by folder name (days and
+    months sort by name); the others are not listed.
+    """
+    path = path.rstrip("/")
+    names = _pointers(spark, path)
+    if not names:
+        return None
+    pointer = _read_pointer(spark, path, names[-1])
+    if newest is not None:
+        pointer = {k: pointer[k] for k in sorted(pointer)[-newest:]}
+    return _load(spark, path, pointer) if pointer else None
 
 
-def _any_partition_exists(spark: SparkSession, path: str, partition_col: str, values) -> bool:
-    for v in values:
-        text = str(v)
-        if v is None or not _PLAIN.match(text):
-            return True           # escaped or default partition names: assume present
-        if path_exists(spark, f"{path}/{partition_col}={text}"):
-            return True
-    return False
+def partition_names(spark: SparkSession, path: str) -> list[str]:
+    """Folder names (``column=value``) of the table's partitions, in order."""
+    names = _pointers(spark, path.rstrip("/"))
+    return sorted(_read_pointer(spark, path.rstrip("/"), names[-1])) if names else []
 
 
-def _table_tag(path: str) -> str:
-    import hashlib
+# ---------------------------------------------------------------- file upsert
 
-    return hashlib.sha1(path.encode()).hexdigest()[:16]
+def _one_row_per_key(updates: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
+    """Refuse keys that a batch holds twice, or keep the row with the largest ``order_by``."""
+    if order_by is None:
+        twice = updates.groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"batch holds a key twice: {twice[0].asDict()}; pass order_by to keep the last row")
+        return updates
+    rows = updates.groupBy(*keys).agg(F.max_by(F.struct(*updates.columns), F.col(order_by)).alias("_row"))
+    return rows.select(*[F.col("_row")[c].alias(c) for c in updates.columns])
 
 
+def upsert_files(
+    updates: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_col: str,
+    order_by: str | None = None,
+    many_per_key: bool = False,
+) -> None:
+    """Merge ``updates`` into the file table at ``path`` by ``keys``.
+
+    ``partition_col`` must be a column of ``updates`` and a function of the
+    keys (for example the day of ``window_start``), so a key never moves
+    between partitions. A batch must hold a key once, unless ``order_by``
+    names the column whose largest value decides, or ``many_per_key`` lets a
+    key stand for a group of rows that is replaced as a whole.
+
+    The serving tables hold few rows per partition (one per window or per
+    day), so each touched partition is written by one task. A batch that is
+    applied again, also after a crash at any point, gives the same table:
+    nothing is looked up from earlier attempts.
+    """
+    spark = updates.sparkSession
+    path = path.rstrip("/")
+    given = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        updates = given if many_per_key else _one_row_per_key(given, keys, order_by)
+        touched = [r[0] for r in updates.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
+        if len(touched) > MAX_TOUCHED:
+            raise ValueError(f"a batch touches more than {MAX_TOUCHED} values of {partition_col}")
+        if not touched:
+            return
+        names = _pointers(spark, path)
+        pointer = _read_pointer(spark, path, names[-1]) if names else {}
+        merged = updates
+        if pointer:
+            existing = _load(spark, path, pointer)
+            known = F.col(partition_col).isin([t for t in touched if t is not None])
+            old = existing.where(known | F.col(partition_col).isNull() if None in touched else known)
+            same = [old[k].eqNullSafe(updates[k]) for k in keys]
+            cond = same[0]
+            for c in same[1:]:
+                cond = cond & c
+            merged = old.join(updates.select(*keys), cond, "left_anti") \
+                .unionByName(updates.select(*existing.columns))
+        version = uuid.uuid4().hex
+        merged.repartition(partition_col).write.partitionBy(partition_col).parquet(f"{path}/version={version}")
+    finally:
+        given.unpersist()
+    written = [n for n in list_names(spark, f"{path}/version={version}") if "=" in n]
+    number = int(names[-1]) + 1 if names else 0
+    _write_pointer(spark, path, f"{number:012d}", {**pointer, **{n: version for n in written}})
+    _drop_unused(spark, path)
+
+
+def _drop_unused(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete partition folders that none of the last ``keep`` pointers names (readers may hold the one before)."""
+    names = _pointers(spark, path)
+    used = {(v, k) for n in names[-keep:] for k, v in _read_pointer(spark, path, n).items()}
+    for n in names[:-keep]:
+        for k, v in _read_pointer(spark, path, n).items():
+            if (v, k) not in used:
+                delete_path(spark, f"{path}/version={v}/{k}")
+        delete_path(spark, f"{path}/_pointer/{n}")
+    live = {v for v, _ in used}
+    if len(names) > keep:
+        for n in list_names(spark, path):  # folders of batches that never got a pointer, or with nothing left
+            if n.startswith("version=") and n.removeprefix("version=") not in live:
+                delete_path(spark, f"{path}/{n}")
+
+
+# ---------------------------------------------------------------- relational upsert
+
 def _quote(name: str, dialect: str) -> str:
     q = "`" if dialect == "mysql" else '"'
     return f"{q}{name}{q}"
@@ -187,7 +258,8 @@ def upsert_jdbc(
     coalesces the batch to that many partitions).
     """
     props = dict(properties or {})
-    stage = stage_table or f"{table}_stage"
+    # A name of its own, so that jobs and replays never share a staging table.
+    stage = stage_table or f"{table}_stage_{uuid.uuid4().hex[:12]}"
     (
         updates.write.format("jdbc")
         .option("url", url)
@@ -199,12 +271,14 @@ def upsert_jdbc(
         .save()
     )
     sql = merge_statement(table, stage, updates.columns, keys, dialect)
-    execute_jdbc(updates.sparkSession, url, [sql], props)
+    try:
+        execute_jdbc(updates.sparkSession, url, [sql], props)
+    finally:
+        if stage_table is None:
+            execute_jdbc(updates.sparkSession, url, [f"DROP TABLE {stage}"], props)
 
 
-def execute_jdbc(spark: SparkSession, url: str, statements: Sequence[str],
-                 properties: dict[str, str] | None = None) -> None:
-    """Run statements in one transaction on a driver-side JDBC connection."""
+def _connect(spark: SparkSession, url: str, properties: dict[str, str] | None):
     props = dict(properties or {})
     jvm = spark.sparkContext._jvm
     jprops = jvm.java.util.Properties()
@@ -213,7 +287,13 @@ def execute_jdbc(spark: SparkSession, url: str, statements: Sequence[str],
             jprops.setProperty(k, props[k])
     if "driver" in props:
         jvm.java.lang.Class.forName(props["driver"])
-    conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
+    return jvm.java.sql.DriverManager.getConnection(url, jprops)
+
+
+def execute_jdbc(spark: SparkSession, url: str, statements: Sequence[str],
+                 properties: dict[str, str] | None = None) -> None:
+    """Run statements in one transaction on a driver-side JDBC connection."""
+    conn = _connect(spark, url, properties)
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
@@ -232,11 +312,20 @@ def execute_jdbc(spark: SparkSession, url: str, statements: Sequence[str],
 
 def ensure_jdbc_table(spark: SparkSession, url: str, table: str, ddl: str,
                       properties: dict[str, str] | None = None) -> None:
-    """Create a serving table from its DDL unless it exists."""
+    """Create a serving table from its DDL unless the database lists it.
+
+    A failed connection or a refused user is an error, not an absent table.
+    """
+    conn = _connect(spark, url, properties)
     try:
-        spark.read.format("jdbc").option("url", url).option(
-            "query", f"SELECT * FROM {table} WHERE 1 = 0").options(**(properties or {})).load()
-    except Exception:
+        found = False
+        for name in {table, table.lower(), table.upper()}:
+            tables = conn.getMetaData().getTables(None, None, name, None)
+            found = found or bool(tables.next())
+            tables.close()
+    finally:
+        conn.close()
+    if not found:
         execute_jdbc(spark, url, [ddl], properties)
 
 
@@ -247,6 +336,9 @@ def read_serving_jdbc(spark: SparkSession, url: str, table: str,
         **(properties or {})).load()
 
 
-def read_serving_files(spark: SparkSession, path: str) -> DataFrame:
-    """A serving table kept as Parquet by ``upsert_files``."""
-    return spark.read.parquet(path)
+def read_serving_files(spark: SparkSession, path: str, newest: int | None = None) -> DataFrame:
+    """A serving table kept by ``upsert_files``; ``newest`` limits it to the last partitions."""
+    table = read_table(spark, path, newest)
+    if table is None:
+        raise FileNotFoundError(f"no serving table at {path}")
+    return table

@@ -1,5 +1,6 @@
-"""Per-micro-batch logging from the query listener: input rows, duration,
-state size and rows dropped behind the watermark. No extra Spark jobs."""
+"""Per-micro-batch logging from the query listener: input rows, duration, state
+size and rows dropped behind the watermark of every stateful step, and counts of
+odd input. No extra Spark jobs."""
 
 from __future__ import annotations
 
@@ -16,13 +17,11 @@ class ProgressLogger(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        state = p.stateOperators[0] if p.stateOperators else None
-        log.info(
-            "batch %s: %s input rows, %s ms, state rows %s, dropped by watermark %s",
-            p.batchId, p.numInputRows, p.batchDuration,
-            state.numRowsTotal if state else 0,
-            state.numRowsDroppedByWatermark if state else 0,
-        )
+        # Chained aggregates have a state operator each.
+        state = [(s.numRowsTotal, s.numRowsDroppedByWatermark) for s in p.stateOperators]
+        checks = {name: row.asDict() for name, row in (p.observedMetrics or {}).items()}
+        log.info("batch %s: %s input rows, %s ms, (state rows, dropped by watermark) %s, checks %s",
+                 p.batchId, p.numInputRows, p.batchDuration, state, checks)
 
     def onQueryIdle(self, event) -> None:
         pass

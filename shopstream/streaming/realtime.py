@@ -31,13 +31,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.functions.jsonfns import decode_messages
-from shopstream.functions.timefns import utc_day
-from shopstream.functions.money import money_out, to_money
+from shopstream.functions.timefns import odd_time, utc_day
+from shopstream.functions.money import money_out, odd_amount, to_money
 from shopstream.operators.windows import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
@@ -47,13 +47,18 @@ from shopstream.operators.windows import (
     with_event_time,
 )
 from shopstream.schema import BUY, CLICK, REALTIME_KEYS
-from shopstream.sources.tables import read_table, upsert_files, upsert_jdbc
+from shopstream.sources.files import MAX_RECORDS_PER_FILE, landing_columns, refuse_commit_log
+from shopstream.sources.tables import delete_path, list_names, move_path, read_table, upsert_files, upsert_jdbc
 
 # The lateness bound, trigger intervals and topic of the jobs.
 WATERMARK = "30 minutes"
 STATS_TRIGGER = "10 seconds"
 LANDING_TRIGGER = "60 seconds"
 TOPIC = "user_behavior"
+#: How far a row's event time may lie after its arrival.
+AHEAD = "1 hours"
+#: Name of the counts of odd input in a query's progress.
+INPUT_CHECKS = "input_checks"
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -94,15 +99,49 @@ def read_message_stream(
     return reader.load(path).select("value", F.current_timestamp().alias("arrival"))
 
 
+def _is_ahead(ahead: str) -> Column:
+    limit = F.unix_seconds("arrival") + F.lit(duration_seconds(ahead))
+    return F.coalesce(F.unix_seconds("event_time") > limit, F.lit(False))
+
+
+def _checked(messages: DataFrame, ahead: str | None) -> DataFrame:
+    """Decoded rows with event time; odd values are counted, rows far ahead of their arrival left out."""
+    rows = with_event_time(decode_messages(messages.select("value", "arrival")))
+    far = _is_ahead(ahead) if ahead else F.lit(False)
+    rows = rows.observe(INPUT_CHECKS, F.count_if(odd_time()).alias("odd_times"),
+                        F.count_if(odd_amount("amount")).alias("odd_amounts"), F.count_if(far).alias("rows_ahead"))
+    return rows.where(~far) if ahead else rows
+
+
+def start_ahead_rows(messages: DataFrame, path: str, checkpoint: str, *, ahead: str = AHEAD,
+                     processing_time: str | None = LANDING_TRIGGER, available_now: bool = False) -> StreamingQuery:
+    """Append the rows that ``realtime_stats_stream`` leaves out for their clock to a Parquet folder."""
+    rows = with_event_time(decode_messages(messages.select("value", "arrival"))).where(_is_ahead(ahead))
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def realtime_stats_stream(
     messages: DataFrame,
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
     exact_uv: bool = False,
+    ahead: str | None = AHEAD,
 ) -> DataFrame:
     """Streaming pv / uv / sales per window.
 
+    Rows whose event time is later than their arrival by more than ``ahead``
+    don't count and don't move the watermark: one wrong clock would otherwise
+    close everybody's windows. ``start_ahead_rows`` keeps them; ``None`` lets
+    them count. Times and amounts that can't be read count as null
+    (``odd_time``, ``odd_amount``); all three are counted per batch under
+    ``INPUT_CHECKS`` in the query's progress.
+
     Default: one stateful aggregate with a HyperLogLog uv; works with the
     ``update`` and ``complete`` output modes.
 
@@ -113,9 +152,7 @@ def realtime_stats_stream(
     exact, after the watermark passes its end (a delay of about the lateness
     bound). State holds the open windows' users, bounded by the watermark.
     """
-    behavior = with_event_time(decode_messages(messages.select("value"))).withWatermark(
-        "event_time", watermark
-    )
+    behavior = _checked(messages, ahead).withWatermark("event_time", watermark)
     if not exact_uv:
         windowed = behavior.groupBy(F.window("event_time", size, slide).alias("window")).agg(
             *window_aggregates(exact_uv=False)
@@ -158,20 +195,21 @@ def realtime_table_sink(path: str, skip_unchanged: bool = False) -> BatchSink:
             for c in same[1:]:
                 cond = cond & c
             rows = rows.join(existing, cond, "left_anti")
-        upsert_files(rows, path, REALTIME_KEYS, "window_day", batch_id=batch_id)
+        upsert_files(rows, path, REALTIME_KEYS, "window_day")
 
     return sink
 
 
 def realtime_jdbc_sink(url: str, table: str = "realtime_stats",
                        properties: dict[str, str] | None = None,
-                       dialect: str = "merge") -> BatchSink:
+                       dialect: str = "merge", max_connections: int = 8) -> BatchSink:
     """``foreachBatch`` function upserting window rows into a relational table
     (primary key window_start, window_end): staged by Spark's JDBC writer,
     applied with one MERGE. A replayed batch re-stages and re-merges."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_jdbc(batch, url, table, REALTIME_KEYS, properties, dialect=dialect)
+        upsert_jdbc(batch, url, table, REALTIME_KEYS, properties, dialect=dialect,
+                    max_connections=max_connections)
 
     return sink
 
@@ -189,12 +227,13 @@ def start_realtime_stats(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
+    ahead: str | None = AHEAD,
 ) -> StreamingQuery:
     """Start the realtime window query with ``sink`` as its foreachBatch."""
     allowed = ("append",) if exact_uv else ("update", "complete")
     if mode not in allowed:
         raise ValueError(f"mode must be one of {allowed} (exact_uv={exact_uv})")
-    stats = realtime_stats_stream(messages, size, slide, watermark, exact_uv=exact_uv)
+    stats = realtime_stats_stream(messages, size, slide, watermark, exact_uv=exact_uv, ahead=ahead)
     writer = (
         stats.writeStream.foreachBatch(sink)
         .outputMode(mode)
@@ -209,6 +248,39 @@ def start_realtime_stats(
     return writer.start()
 
 
+def landing_sink(base: str, zone: str = "UTC") -> BatchSink:
+    """``foreachBatch`` function that puts a batch's messages into plain files of the landing folders.
+
+    The batch is written beside the landing and its files are moved in under
+    names that carry the query and the batch; a replay first takes away what an
+    earlier attempt of the batch moved. So each message lands once, no commit log
+    governs the folder, and other writers may land there too. A batch has few
+    files (about one for each folder and task).
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        tag = f"stream-{query}-{batch_id:09d}"
+        draft = f"{base.rstrip('/')}/_landing/{tag}"
+        batch.select(*landing_columns(F.col("value"), F.col("arrival"), zone)).hint("rebalance", "dt", "hour") \
+            .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
+            .partitionBy("dt", "hour").text(draft)
+        for day in [n for n in list_names(spark, draft) if n.startswith("dt=")]:
+            for hour in list_names(spark, f"{draft}/{day}"):
+                target = f"{base.rstrip('/')}/{day}/{hour}"
+                for old in list_names(spark, target):
+                    if old.startswith(f"{tag}-"):
+                        delete_path(spark, f"{target}/{old}")
+                parts = [n for n in list_names(spark, f"{draft}/{day}/{hour}") if not n.startswith((".", "_"))]
+                for i, name in enumerate(parts):
+                    suffix = name[name.index("."):]
+                    move_path(spark, f"{draft}/{day}/{hour}/{name}", f"{target}/{tag}-{i:05d}{suffix}")
+        delete_path(spark, draft)
+
+    return sink
+
+
 def start_raw_landing(
     messages: DataFrame,
     base: str,
@@ -216,28 +288,12 @@ def start_raw_landing(
     *,
     processing_time: str | None = LANDING_TRIGGER,
     available_now: bool = False,
-    max_records_per_file: int | None = None,
+    zone: str = "UTC",
 ) -> StreamingQuery:
     """Append raw messages as text files under ``base/dt=YYYY-MM-DD/hour=HH``
-    of the (UTC) arrival instant. The file sink's commit log makes each
-    micro-batch land exactly once."""
-    from shopstream.functions.timefns import utc_wall_clock
-
-    at = utc_wall_clock("arrival")
-    out = messages.select(
-        "value",
-        F.date_format(at, "yyyy-MM-dd").alias("dt"),
-        F.date_format(at, "HH").alias("hour"),
-    )
-    writer = (
-        out.writeStream.format("text")
-        .partitionBy("dt", "hour")
-        .option("path", base)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    of the arrival instant in ``zone``, each micro-batch exactly once."""
+    refuse_commit_log(messages.sparkSession, base)
+    writer = messages.writeStream.foreachBatch(landing_sink(base, zone)).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

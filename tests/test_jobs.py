@@ -9,6 +9,7 @@ from conftest import SAMPLE_MESSAGES
 from shopstream.plans.jobs import default_dates, run_daily
 from shopstream.session import scratch_path
 from shopstream.sources import files
+from shopstream.sources.tables import read_table
 
 
 def _land(base, day, hour, lines):
@@ -26,22 +27,22 @@ def test_daily_job_one_day_then_another(spark):
     # Arrived after midnight: counts on the arrival day.
     _land(landing, "2023-11-15", "00", [SAMPLE_MESSAGES[2].replace("u_1003", "u_2000")])
 
-    out = run_daily(spark, landing, warehouse, reports, dates=["2023-11-14"], suffix="*.log")
+    out = run_daily(spark, landing, warehouse, reports, dates=["2023-11-14"])
     rep = out.report.collect()
     assert [tuple(r) for r in rep] == [
         (dt.date(2023, 11, 14), 99.9, "i_5004", 99.9, "", 0.0, "", 0.0, 2, 1, 1)]
     assert {r.item_id for r in out.top_products.collect()} == {"i_5004"}
     assert files.read_warehouse(spark, warehouse).count() == 5
 
-    run_daily(spark, landing, warehouse, reports, dates=["2023-11-15"], suffix="*.log")
-    table = {r.report_date: r for r in spark.read.parquet(reports).collect()}
+    run_daily(spark, landing, warehouse, reports, dates=["2023-11-15"])
+    table = {r.report_date: r for r in read_table(spark, reports).collect()}
     assert set(table) == {dt.date(2023, 11, 14), dt.date(2023, 11, 15)}
     assert table[dt.date(2023, 11, 15)].buy_uv == 1 and table[dt.date(2023, 11, 15)].click_uv == 0
     assert files.read_warehouse(spark, warehouse).count() == 6       # day 1 kept
 
     # Re-running day 1 changes nothing.
-    run_daily(spark, landing, warehouse, reports, dates=["2023-11-14"], suffix="*.log")
-    assert spark.read.parquet(reports).count() == 2
+    run_daily(spark, landing, warehouse, reports, dates=["2023-11-14"])
+    assert read_table(spark, reports).count() == 2
     assert files.read_warehouse(spark, warehouse).count() == 6
 
 
@@ -49,10 +50,54 @@ def test_missing_day_gives_no_rows(spark):
     landing = scratch_path(spark, "job-land2")
     _land(landing, "2023-11-14", "22", SAMPLE_MESSAGES)
     out = run_daily(spark, landing, scratch_path(spark, "job-wh2"), None,
-                    dates=["2023-12-01"], suffix="*.log")
+                    dates=["2023-12-01"])
     assert out.report.count() == 0
 
 
 def test_default_date_is_yesterday():
     (d,) = default_dates()
     assert d == (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
+
+
+def test_default_date_in_a_zone():
+    from zoneinfo import ZoneInfo
+
+    (d,) = default_dates("Asia/Shanghai")
+    assert d == (dt.datetime.now(ZoneInfo("Asia/Shanghai")).date() - dt.timedelta(days=1)).isoformat()
+
+
+def test_landing_days_in_a_zone_eight_hours_ahead(spark):
+    from pyspark.sql import functions as F
+
+    base = scratch_path(spark, "zone-land")
+    rows = spark.createDataFrame([(SAMPLE_MESSAGES[0], 1700000000), (SAMPLE_MESSAGES[2], 1699999200 - 7 * 3600)],
+                                 "value string, at long")     # 22:13 and 15:00 UTC on 2023-11-14
+    files.write_raw_landing(rows, base, arrival=F.timestamp_seconds("at"), zone="Asia/Shanghai")
+    got = {(str(r.dt), r.hour) for r in files.read_raw_landing(spark, base).collect()}
+    assert got == {("2023-11-15", 6), ("2023-11-14", 23)}
+    out = run_daily(spark, base, scratch_path(spark, "zone-wh"), None, dates=["2023-11-15"])
+    assert [(r.report_date, r.click_uv, r.buy_uv) for r in out.report.collect()] == [(dt.date(2023, 11, 15), 1, 0)]
+
+
+def test_stored_products_and_categories(spark):
+    landing, warehouse = scratch_path(spark, "st-land"), scratch_path(spark, "st-wh")
+    tops, cats = scratch_path(spark, "st-top"), scratch_path(spark, "st-cat")
+    _land(landing, "2023-11-14", "22", SAMPLE_MESSAGES)
+    for _ in range(2):                                   # a re-run replaces the day
+        run_daily(spark, landing, warehouse, dates=["2023-11-14"], top_products=tops, category_sales=cats)
+    assert [(r["rank"], r.item_id) for r in read_table(spark, tops).collect()] == [(1, "i_5004")]
+    assert [r.category_id for r in read_table(spark, cats).collect()] == ["c_303"]
+
+
+def test_command_line_options():
+    import pytest
+
+    from shopstream.plans.jobs import _parser
+
+    ap = _parser()
+    a = ap.parse_args(["realtime", "--path", "p", "--checkpoint", "c", "--jdbc-url", "u", "--jdbc-option", "user=x",
+                       "--kafka-option", "maxOffsetsPerTrigger=5", "--timezone", "Asia/Shanghai"])
+    assert a.jdbc_option == ["user=x"] and a.kafka_option == ["maxOffsetsPerTrigger=5"]
+    assert ap.parse_args(["landing", "--path", "p", "--landing", "l", "--checkpoint", "c"]).landing == "l"
+    with pytest.raises(SystemExit):
+        ap.parse_args(["realtime", "--path", "p", "--table", "t"])       # no checkpoint

