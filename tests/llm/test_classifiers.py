@@ -1,0 +1,182 @@
+"""Quality, language and toxicity: held-out accuracy, and exact parts against plain versions."""
+
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from shopstream.llm import langid, quality, toxicity
+
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
+
+
+def _auc(label, score):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    n = label.sum()
+    return (rank[label == 1].sum() - n * (n + 1) / 2) / (n * (len(label) - n))
+
+
+def _held(scored, labels, column):
+    got = scored.where("held_out").join(labels, "doc_id").where(f"{column} IS NOT NULL").toPandas()
+    return got[column].to_numpy(), got["score"].to_numpy(), got["predicted"].to_numpy()
+
+
+# ---------------------------------------------------------------- quality
+
+def test_quality_on_held_out_rows(tables):
+    docs, labels = tables
+    weights, prior = quality.train(docs, labels)
+    assert 0.6 < prior < 0.99
+    y, s, p = _held(quality.score(docs, weights), labels, "quality")
+    assert _auc(y, s) > 0.97 and (p == y).mean() > 0.93
+
+
+def test_quality_uses_no_negative_label(tables):
+    docs, labels = tables
+    a, _ = quality.train(docs, labels.where("quality = 1"))
+    b, _ = quality.train(docs, labels.where("quality = 1").unionByName(labels.where("quality = 0").withColumn(
+        "quality", labels["quality"] * 0 - 7)).where("quality = 1"))
+    assert np.allclose(a, b)
+
+
+def test_prior_estimate_and_non_negative_risk():
+    rng = np.random.default_rng(0)
+    p = rng.normal(2, 1, (4000, 1))
+    u = np.concatenate([rng.normal(2, 1, (2800, 1)), rng.normal(-2, 1, (1200, 1))])
+    one = lambda x: np.hstack([x, np.ones((len(x), 1))])
+    w = quality.positive_vs_unlabelled(one(p[::2]), one(u[::2]))
+    prior = quality.estimate_prior(one(p[1::2]) @ w, one(u[1::2]) @ w)
+    assert abs(prior - 0.7) < 0.06
+    w = quality.non_negative_risk_fit(one(p), one(u), prior)
+    truth = np.repeat([1, 0], [2800, 1200])
+    assert ((one(u) @ w > 0) == truth).mean() > 0.95
+
+
+def test_quality_edge_rows(spark, make_docs, tables):
+    docs, labels = tables
+    weights, _ = quality.train(docs, labels)
+    rows = [(1, None), (2, ""), (3, "w " * 200_000), (4, "same"), (4, "same"), (None, "x")]
+    got = quality.score(make_docs(rows), weights).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[1] == score[2]
+    assert {r.doc_id: r.held_out for r in got}[3] == (zlib.crc32(b"3") % 3 == 1)
+    empty = spark.createDataFrame([(1, None, None), (None, 1, 1)], labels.schema)
+    nothing, _ = quality.train(make_docs(rows), empty)
+    assert nothing is None and {r.score for r in quality.score(make_docs(rows), nothing).collect()} == {0.5}
+    assert quality.score(make_docs([]), weights).collect() == []
+
+
+# ---------------------------------------------------------------- toxicity
+
+def test_toxicity_on_held_out_rows(tables):
+    docs, labels = tables
+    model = toxicity.train(docs, labels)
+    assert len(model) < 5000  # sparse
+    y, s, p = _held(toxicity.score(docs, model), labels, "toxic")
+    assert _auc(y, s) > 0.8 and (p == y).mean() > 0.9
+
+
+def test_ftrl_learns_a_word_and_leaves_the_rest_at_zero():
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(600):
+        buckets = np.unique(rng.integers(0, 5000, 40) + 10)
+        y = float(i % 10 == 0)
+        rows.append((np.append(7, buckets) if y else buckets, y, 1.0))
+    w, bias = toxicity.ftrl(rows)
+    assert w[7] > 2 and bias < 0 and (w != 0).sum() < 600 and w[7] == w.max()
+
+
+def test_features_against_a_plain_version():
+    text = b"A b, c? b c a a b"
+    doc, bucket = toxicity._distinct(*toxicity.hashed_features([b"zz", text, b"", b"q"]))
+    words = ["a", "b", "c", "b", "c", "a", "a", "b"]
+    plain = {("1", w) for w in words} | {("2", *x) for x in zip(words, words[1:])} | {("3", *x) for x in zip(words, words[2:])}
+    assert (doc == 1).sum() == len(plain) and (doc == 0).sum() == 1 and (doc == 2).sum() == 0
+
+
+def test_toxicity_edge_rows(spark, make_docs, tables):
+    docs, labels = tables
+    rows = [(1, None), (2, ""), (3, "stupid " * 100_000), (4, "x"), (4, "x"), (None, "y")]
+    model = toxicity.train(docs, labels)
+    got = toxicity.score(make_docs(rows), model).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert len(got) == 6 and score[1] == score[2] and score[3] > score[2]
+    assert all(r.predicted == (r.score >= 0.3) for r in got)
+    twice = labels.unionByName(labels.withColumn("toxic", labels["toxic"] * 0))
+    assert dict(toxicity.train(docs, twice)) == dict(model)  # any toxic label wins
+    assert toxicity.train(docs, labels.where("false")) == []
+    assert {r.score for r in toxicity.score(make_docs(rows), []).collect()} == {0.0}
+    assert toxicity.score(make_docs([]), model).collect() == []
+
+
+# ---------------------------------------------------------------- language
+
+def test_language_on_held_out_rows(tables):
+    docs, _ = tables
+    model = langid.train(docs)
+    got = langid.detect(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.lang_pred == r.lang for r in got) / len(got) > 0.98
+
+
+def test_forward_backward_against_all_labellings():
+    rng = np.random.default_rng(4)
+    k, sizes = 3, [4, 1, 2]
+    score, trans, init = rng.normal(size=(sum(sizes), k)), rng.normal(size=(k, k)), rng.normal(size=k)
+    chain = np.repeat([5, 6, 9], sizes)
+    got, z, expected = langid.forward_backward(score, chain, trans, init, pairs=True)
+    want, want_pairs, log_z, at = [], np.zeros((k, k)), 0.0, 0
+    for n in sizes:
+        weight, marginal, pairs = 0.0, np.zeros((n, k)), np.zeros((k, k))
+        for y in itertools.product(range(k), repeat=n):
+            p = np.exp(init[y[0]] + sum(score[at + i, y[i]] for i in range(n)) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+            weight += p
+            for i in range(n):
+                marginal[i, y[i]] += p
+            for a, b in zip(y, y[1:]):
+                pairs[a, b] += p
+        want.append(marginal / weight)
+        want_pairs += pairs / weight
+        log_z += np.log(weight)
+        at += n
+    assert np.allclose(got, np.concatenate(want)) and np.allclose(expected, want_pairs) and np.isclose(z, log_z)
+
+
+def test_code_switched_words_are_labelled_one_by_one(tables):
+    docs, _ = tables
+    model = langid.train(docs)
+    text = {r.lang: r.text.split()[:12] for r in docs.where("crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1")
+            .where("n_chars > 400 AND n_chars < 900").collect()}
+    mixed = " ".join(text["de"] + text["en"] + text["fr"]).lower()
+    _, marginal = langid.label_words([mixed.encode()], model)
+    data, start, end, _, _ = langid.split_words([mixed.encode()])
+    best = [model["langs"][i] for i in marginal.argmax(axis=1)]
+    third = len(best) // 3
+    assert best[:third].count("de") >= third * 0.7 and best[third:2 * third].count("en") >= third * 0.7
+
+
+def test_language_edge_rows(make_docs, tables):
+    docs, _ = tables
+    model = langid.train(docs)
+    rows = [(1, None), (2, ""), (3, "123 !? ..."), (4, "the and that with " * 20_000), (5, "é"), (5, "é"), (None, "of the")]
+    got = {r.doc_id: r for r in langid.detect(make_docs(rows), model).collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (1, 2, 3))
+    assert got[4].lang_pred == "en" and got[5].lang_pred in model["langs"]
+    kept = langid.keep_recognised(make_docs(rows), model)
+    assert kept.columns == make_docs(rows).columns
+    assert {1, 2, 3}.isdisjoint({r.doc_id for r in kept.collect()}) and 4 in {r.doc_id for r in kept.collect()}
+    assert langid.train(make_docs(rows)) is None  # no language given
+    assert {r.lang_pred for r in langid.detect(make_docs(rows), None).collect()} == {"und"}
+    assert {r.doc_id for r in langid.keep_recognised(make_docs(rows), None).collect()} == {4, 5, None}
+    assert langid.detect(make_docs([]), model).collect() == []
