@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import as_bytes, crc_mod, ready, slices
-from shopstream.llm.training import fit_in_one_task, sample_by_class, sample_rows, training_rows
+from shopstream.llm.training import BROADCAST_ROWS, fit_in_one_task, sample_by_class, sample_rows, training_rows
 
 PAIR_BUCKETS = 512
 SHAPES = 12
@@ -162,7 +162,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", n_positive
     if free.select("doc_id").isEmpty():
         free = pool
     ids = sample_rows(free.select("doc_id"), n_unlabelled)
-    unlabelled = pool.join(ids.distinct(), "doc_id", "left_semi").select("doc_id", "text", F.lit(0).alias("label"))
+    if n_unlabelled <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)  # about n_unlabelled ids
+    unlabelled = pool.join(ids, "doc_id", "left_semi").select("doc_id", "text", F.lit(0).alias("label"))
     sample = positive.unionByName(unlabelled).withColumn("text", F.coalesce("text", F.lit("")))
     rows = sorted((r.i, r.w) for r in fit_in_one_task(sample, _fit, "i int, w double").collect())
     if not rows:

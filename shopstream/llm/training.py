@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shopstream.llm.common import crc_mod
 
 _BITS = 30
+#: Most rows (an id, a label, a number) of a sample that is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _draw(doc_id: Column, seed: int) -> Column:
@@ -28,8 +30,9 @@ def sample_by_class(labelled: DataFrame, docs: DataFrame, per_class: int, seed:
     """(doc_id, text, label, weight): about ``per_class`` rows of each class, by a hash of the id.
 
     ``labelled`` is (doc_id, label); equal ids keep their largest label. ``weight`` undoes the
-    sampling. The hash filter is applied to both sides before the join, so a join moves a sample,
-    not the corpus.
+    sampling. The sample's ids are few (``per_class`` for each class, about) and are broadcast while
+    that bound is small, so no text is shuffled to find them; the hash filter on both sides keeps
+    the join small otherwise.
     """
     rows = labelled.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()) \
         .groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -43,6 +46,8 @@ def sample_by_class(labelled: DataFrame, docs: DataFrame, per_class: int, seed:
         rate = F.when(F.col("label") == F.lit(k), F.lit(v)).otherwise(rate)
     chosen = rows.withColumn("rate", rate).where(_draw(F.col("doc_id"), seed) < F.col("rate"))
     few = docs.select("doc_id", "text").where(_draw(F.col("doc_id"), seed) < F.lit(max(share.values())))
+    if per_class * len(counts) <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
     return few.join(chosen, "doc_id").select("doc_id", "text", "label", (F.lit(1.0) / F.col("rate")).alias("weight"))
 
 
