@@ -43,8 +43,9 @@ RATE = 0.25
 DECAY = 1e-5
 HELD_MOD, HELD = 3, 1
 UNKNOWN = "und"
-#: A document is rejected when fewer of its words agree on a language.
-MIN_SCORE = 0.5
+#: A document is rejected when no language reaches this share of its words; text that
+#: switches between two or three languages stays.
+MIN_SCORE = 0.3
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
