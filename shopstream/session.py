@@ -8,6 +8,7 @@ go without (tests, laptops): then a local folder serves.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -66,6 +67,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared checkpoint directory."""
-    return f"{checkpoint_root(spark)}/shopstream/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path below the shared checkpoint directory.
+
+    Results are lazy and may read it later, so it stays until ``clean_scratch``
+    or the end of the process.
+    """
+    path = f"{checkpoint_root(spark)}/shopstream/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, path))
+    return path
+
+
+def clean_scratch() -> None:
+    """Delete every scratch path this process has handed out."""
+    while _made:
+        spark, path = _made.pop()
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+
+
+def _at_exit() -> None:
+    try:
+        clean_scratch()
+    except Exception:  # the JVM is gone already; what is left lies under spark.checkpoint.dir
+        pass
+
+
+atexit.register(_at_exit)
