@@ -7,9 +7,9 @@ import re
 import corpus_pipeline
 from shopstream.llm import langid, mixing
 from shopstream.llm.queries import LLM_QUERIES
-from tests.llm.test_decontamination import _brute as contaminated
-from tests.llm.test_parity_join import _brute as components
-from tests.llm.test_token_files import _expected as tokens
+from .test_decontamination import _brute as contaminated
+from .test_parity_join import _brute as components
+from .test_token_files import _expected as tokens
 
 SF = "/root/testdata/sf0.001"
 
