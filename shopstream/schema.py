@@ -30,7 +30,7 @@ CART = "cart"
 BUY = "buy"
 FAV = "fav"
 
-# Serving table written by the streaming job; key (window_start, window_end).
+# The serving table written by the streaming job; key (window_start, window_end).
 REALTIME_STATS = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
@@ -42,7 +42,7 @@ REALTIME_STATS = T.StructType(
 )
 REALTIME_KEYS = ["window_start", "window_end"]
 
-# Serving table written by the daily job; key report_date.
+# The serving table written by the daily job; key report_date.
 DAILY_REPORTS = T.StructType(
     [
         T.StructField("report_date", T.DateType()),
@@ -60,7 +60,7 @@ DAILY_REPORTS = T.StructType(
 )
 DAILY_KEYS = ["report_date"]
 
-# DDL for a relational serving store. Unlike the original table definition the
+# DDL for a relational serving store. Unlike the original table definition the
 # realtime table gets a primary key, which a keyed upsert needs.
 REALTIME_STATS_DDL = """CREATE TABLE realtime_stats (
     window_start TIMESTAMP NOT NULL,

@@ -30,11 +30,6 @@ def spark():
     s.stop()
 
 
-def rows(*records):
-    """Behavior rows from tuples in BEHAVIOR column order."""
-    return list(records)
-
-
 def behavior_df(spark, records):
     return spark.createDataFrame(records, schema=BEHAVIOR)
 

@@ -288,3 +288,26 @@ def test_estimate_over_a_whole_day(spark):
     for strategy in ("expand", "panes"):
         for r in window_stats(rows, "24 hours", "24 hours", exact_uv=False, strategy=strategy).collect():
             assert abs(r.uv - 9000) <= 0.2 * 9000
+
+
+def test_progress_is_logged_with_every_state_operator(spark, caplog):
+    import logging
+    import time
+
+    from shopstream.streaming.monitor import ProgressLogger
+
+    listener = ProgressLogger()
+    spark.streams.addListener(listener)
+    try:
+        with caplog.at_level(logging.INFO, logger="shopstream.streaming"):
+            _run_files(spark, "logged", [LATE_FILES[0] + POISON[:1]], mode="append", exact_uv=True)
+            for _ in range(50):
+                if any("input rows" in r.getMessage() for r in caplog.records):
+                    break
+                time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    lines = [r.getMessage() for r in caplog.records if "input rows" in r.getMessage()]
+    assert lines and "3 input rows" in lines[0]
+    assert lines[0].count("(") >= 3                       # both stateful steps of the chain
+    assert "'odd_times': 1" in lines[0]
