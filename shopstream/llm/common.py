@@ -2,14 +2,13 @@
 
 ``Scratch`` writes intermediate tables below the session's
 ``spark.checkpoint.dir`` (shared storage on a cluster) and reads them back, so
-a lost executor never costs more than the step that was running.
+a lost executor never costs more than the step that was running. They go when
+the process ends, those of a finished step before.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.session import scratch_path
+
 #: Text bytes that one Python step handles at a time, inside one Arrow batch.
 SLICE_BYTES = 2 << 20
 
@@ -36,29 +37,12 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only for a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    global _LOCAL
-    if _LOCAL is None:
-        _LOCAL = tempfile.mkdtemp(prefix="shopstream-scratch-")
-    return "file://" + _LOCAL
-
-
-_LOCAL: str | None = None
-
-
 class Scratch:
     """Intermediate Parquet tables of one operator run, in a folder of its own."""
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = ready(spark)
-        self.root = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+        self.root = scratch_path(spark, f"llm-{tag}")
         self._n = 0
 
     def path(self, name: str) -> str:
@@ -76,13 +60,21 @@ class Scratch:
         out.scratch_path = path
         return out
 
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Write the result of the run to a place of its own and delete all its intermediate tables."""
+        out = Scratch(self.spark, "result").table(df, "rows")
+        self._delete(self.root)
+        return out
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table of this run that nothing reads any more."""
         path = getattr(df, "scratch_path", None)
         if path and path.startswith(self.root):
-            jvm = self.spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            self._delete(path)
 
 
 def crc_mod(doc_id, mod: int):

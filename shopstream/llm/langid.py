@@ -43,6 +43,8 @@ RATE = 0.25
 DECAY = 1e-5
 HELD_MOD, HELD = 3, 1
 UNKNOWN = "und"
+#: Text labelled at a time in a task.
+LABEL_BYTES = 1 << 20
 #: A document is rejected when no language reaches this share of its words; text that
 #: switches between two or three languages stays.
 MIN_SCORE = 0.3
@@ -54,6 +56,10 @@ _rng = np.random.Generator(np.random.PCG64(20240601))
 _PLACE = _rng.integers(0, 1 << 63, size=(32, 256), dtype=np.uint64)
 
 
+def lower(texts: list[bytes | None]) -> list[bytes]:
+    return [(t or b"").decode().lower().encode() for t in texts]
+
+
 def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-case texts as one byte array; start and end of each word, its text and its chain number.
 
@@ -209,14 +215,14 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> dict | None:
     ready(docs.sparkSession)
     rows = training_rows(docs.select("doc_id", "text", "lang"), HELD_MOD, HELD)
     sample = sample_by_class(rows.select("doc_id", F.col("lang").alias("label")), rows.select("doc_id", "text"), per_lang)
-    sample = sample.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"), "label")
+    sample = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
 
     def fit(table: pa.Table) -> pa.RecordBatch:
         ids = np.array(table["doc_id"].to_pylist())
         table = table.take(pa.array(np.argsort(ids, kind="stable")))
         names = sorted(set(table["label"].to_pylist()), key=lambda s: s.encode())
         langs = np.array([names.index(x) for x in table["label"].to_pylist()])
-        texts = [t for c in table["text"].chunks for t in as_bytes(c)]
+        texts = [t for c in table["text"].chunks for t in lower(as_bytes(c))]
         w, tr, st = fit_crf(texts, langs, len(names))
         return pa.RecordBatch.from_arrays([
             pa.array([names]), *(pa.array([x.astype("<f4").tobytes()]) for x in (w, tr, st))],
@@ -262,16 +268,16 @@ def detect(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                lang, score = _document_languages(as_bytes(part.column("text")), part.column("lettered").to_pylist(),
-                                                  shared.value)
+            for part in slices(batch, "text", LABEL_BYTES):
+                lang, score = _document_languages(lower(as_bytes(part.column("text"))),
+                                                  part.column("lettered").to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                     names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (crc_mod(F.col("doc_id"), HELD_MOD) == HELD).alias("held_out"),
-                       F.lower(F.coalesce("text", F.lit(""))).alias("text"),
+                       F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
@@ -284,19 +290,18 @@ def keep_recognised(docs: DataFrame, model: dict | None, min_score: float = MIN_
     spark = ready(docs.sparkSession)
     shared = _broadcast(spark, model)
     cols = docs.columns
-    lettered, lower = _free_name(cols, "lettered"), _free_name(cols, "lower_text")
+    lettered = _free_name(cols, "lettered")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, lower):
+            for part in slices(batch, "text", LABEL_BYTES):
                 ok = np.array(part.column(lettered).to_pylist(), bool)
                 if shared.value is not None:
-                    _, score = _document_languages(as_bytes(part.column(lower)), ok.tolist(), shared.value)
+                    _, score = _document_languages(lower(as_bytes(part.column("text"))), ok.tolist(), shared.value)
                     ok &= score >= min_score
                 yield part.filter(pa.array(ok)).select(cols)
 
-    rows = docs.select("*", F.lower(F.coalesce("text", F.lit(""))).alias(lower),
-                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))
+    rows = docs.select("*", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))
     return rows.mapInArrow(run, docs.schema)
 
 

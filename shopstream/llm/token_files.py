@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Scratch, as_bytes, mix64, ready, slices
+from shopstream.llm.common import Scratch, as_bytes, ready, slices
+from shopstream.llm.words import word_spans
 
 PAGE_IDS = 1 << 16
 #: Text encoded at a time in a task.
@@ -156,7 +157,7 @@ class WordCache:
     once and kept; the cache starts anew when it holds ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -168,8 +169,7 @@ class WordCache:
         self.clear()
 
     def clear(self) -> None:
-        mark = np.frombuffer(_END.strip(), np.uint8)
-        self.known = _word_hashes(mark, np.zeros(1, int), np.ones(1, int))  # hashes in order
+        self.known = word_spans(_END)[3]  # hashes in order
         self.rank = np.zeros(1, np.int64)  # entry of each
         self.pieces: dict[bytes, int] = {}
         self.first, self.length, self.flat = _Growing(np.int64), _Growing(np.int64), _Growing(np.int32)
@@ -242,9 +242,8 @@ class WordCache:
         data = np.frombuffer(bytearray().join(t + _END for t in (t if b"<|" in t else t.lower() for t in texts)), np.uint8)
         second = data[1:]
         second[(data[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)] += 0x20  # A-grave to Thorn
-        edge = np.flatnonzero(np.diff(_IN_WORD[data], prepend=False, append=False))
-        start, end = edge[::2], edge[1::2]
-        which, distinct = pd.factorize(_word_hashes(data, start, end))
+        _, start, end, h = word_spans(data)
+        which, distinct = pd.factorize(h)
         if len(self.known) + len(distinct) > self.limit:
             self.clear()
         at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
@@ -281,27 +280,6 @@ class _Growing:
 
 #: Stands between texts and has one id; the byte is in no UTF-8 text.
 _END = b" \xff "
-_IN_WORD = np.ones(256, bool)
-_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
-_rng = np.random.Generator(np.random.PCG64(7))
-_BYTE_CODE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-
-
-@functools.lru_cache(maxsize=2)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over its bytes' codes, from running sums."""
-    n = 1 << (len(data)).bit_length()  # few sizes of power tables
-    run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * _powers(n, _BASE)[:len(data)], out=run[1:])
-    return mix64((run[end] - run[start]) * _powers(n, pow(_BASE, -1, 1 << 64))[start])
-
 
 @functools.lru_cache(maxsize=1)
 def word_cache(path: str) -> WordCache:

@@ -6,8 +6,6 @@ about 3e-8, and every use compares many words.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 from shopstream.llm.common import mix64
@@ -18,24 +16,30 @@ _IN_WORD = np.ones(256, bool)
 _IN_WORD[[9, 10, 11, 12, 13, 32]] = False
 _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+#: Powers of the base and of its inverse modulo 2^64, as far as they were needed.
+_POWERS: dict[int, np.ndarray] = {}
 
 
-@functools.lru_cache(maxsize=64)
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(n + n // 8 + 1, base, np.uint64)
+        known[0] = 1
+        _POWERS[base] = known = np.multiply.accumulate(known)
+    return known
 
 
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: bytes | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes as an array, and start, end and hash of each run of bytes other than space and 0x09 to 0x0D."""
-    data = np.frombuffer(data, np.uint8)
+    data = data if isinstance(data, np.ndarray) else np.frombuffer(data, np.uint8)
     edge = np.flatnonzero(np.diff(_IN_WORD[data], prepend=False, append=False))
     start, end = edge[::2], edge[1::2]
-    n = 1 << len(data).bit_length()  # few sizes of power tables
     run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * _powers(n, _BASE)[:len(data)], out=run[1:])
-    return data, start, end, mix64((run[end] - run[start]) * _powers(n, pow(_BASE, -1, 1 << 64))[start])
+    np.cumsum(_BYTE_CODE[data] * _powers(len(data), _BASE)[:len(data)], out=run[1:])
+    return data, start, end, mix64((run[end] - run[start]) * _powers(len(data), _INVERSE)[start])
 
 
 def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
