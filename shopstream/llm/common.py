@@ -8,6 +8,8 @@ the process ends, those of a finished step before.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 from collections.abc import Iterator
 
@@ -77,6 +79,23 @@ class Scratch:
             self._delete(path)
 
 
+def tidy(step):
+    """A step over Arrow batches that hands unused memory back to the system when its task ends.
+
+    Python workers are reused; what the allocators keep from one task would count against the next.
+    """
+    @functools.wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def crc_mod(doc_id, mod: int):
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     as_text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Scratch, as_bytes, ready, slices
+from shopstream.llm.common import Scratch, as_bytes, ready, slices, tidy
 
 WINDOW = 10
 #: Benchmark text in one broadcast.
@@ -260,7 +260,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     at = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     carried = False
     for last, block in _blocks(benchmark, window, block_bytes):
-        at = at.mapInArrow(_matcher(block, carried, last), MATCH_SCHEMA + ("" if last else ", text string"))
+        at = at.mapInArrow(tidy(_matcher(block, carried, last)), MATCH_SCHEMA + ("" if last else ", text string"))
         if not last:
             at, carried = scratch.table(at, "block"), True
     return at
@@ -315,7 +315,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
 
     scratch = Scratch(docs.sparkSession, "decontamination")
     for last, block in _blocks(benchmark, window, block_bytes):
-        docs = docs.mapInArrow(keep(block), docs.schema)
+        docs = docs.mapInArrow(tidy(keep(block)), docs.schema)
         if not last:
             docs = scratch.table(docs, "block")
     return docs

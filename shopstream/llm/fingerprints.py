@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import mix64, ready
+from shopstream.llm.common import mix64, ready, tidy
 from shopstream.llm.words import word_spans
 
 HASH_LANES = 16
@@ -216,4 +216,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text", "k", F.col("to.bucket").alias("bucket"), F.col("to.guest").alias("guest"))
     return rows.repartitionById(last + 1, F.col("bucket")) \
         .sortWithinPartitions("guest", "k", F.xxhash64("text")).select("doc_id", "text", "guest") \
-        .mapInArrow(_follow, SCHEMA)
+        .mapInArrow(tidy(_follow), SCHEMA)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import as_bytes, crc_mod, mix64, ready, slices
+from shopstream.llm.common import as_bytes, crc_mod, mix64, ready, slices, tidy
 from shopstream.llm.training import fit_in_one_task, sample_by_class, training_rows
 
 BUCKETS = 1 << 16
@@ -279,7 +279,7 @@ def detect(docs: DataFrame, model: dict | None) -> DataFrame:
                        (crc_mod(F.col("doc_id"), HELD_MOD) == HELD).alias("held_out"),
                        F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_recognised(docs: DataFrame, model: dict | None, min_score: float = MIN_SCORE) -> DataFrame:
@@ -302,7 +302,7 @@ def keep_recognised(docs: DataFrame, model: dict | None, min_score: float = MIN_
                 yield part.filter(pa.array(ok)).select(cols)
 
     rows = docs.select("*", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(tidy(run), docs.schema)
 
 
 def _free_name(taken: list[str], name: str) -> str:

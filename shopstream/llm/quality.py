@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import as_bytes, crc_mod, ready, slices
+from shopstream.llm.common import as_bytes, crc_mod, ready, slices, tidy
 from shopstream.llm.training import BROADCAST_ROWS, fit_in_one_task, sample_by_class, sample_rows, training_rows
 
 PAIR_BUCKETS = 512
@@ -191,5 +191,5 @@ def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (crc_mod(F.col("doc_id"), HELD_MOD) == HELD).alias("held_out"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double") \
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double") \
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Scratch, as_bytes, ready, slices
+from shopstream.llm.common import Scratch, as_bytes, ready, slices, tidy
 from shopstream.llm.words import word_spans
 
 PAGE_IDS = 1 << 16
@@ -337,7 +337,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                            F.coalesce(F.col("text"), F.lit("")).alias("text"))
                .repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie))
-    ordered.mapInArrow(_pages(tokenizer_path, end_id, page_ids), PAGE_SCHEMA).write.parquet(f"{path}/pages")
+    ordered.mapInArrow(tidy(_pages(tokenizer_path, end_id, page_ids)), PAGE_SCHEMA).write.parquet(f"{path}/pages")
     pages = spark.read.schema(PAGE_SCHEMA).parquet(f"{path}/pages")
     shards = (pages.groupBy("shard").agg(
         F.sum(F.aggregate("doc_tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n_ids"),
@@ -367,7 +367,7 @@ def _read_pages(spark: SparkSession, path: str, per_page, schema: str) -> DataFr
                 yield per_page(r["doc_id"].as_py(), start, ends - counts, ends, ids)
 
     pages = spark.read.schema(PAGE_SCHEMA).parquet(f"{path}/pages")
-    return pages.drop("page", "block_offsets").mapInArrow(run, schema)
+    return pages.drop("page", "block_offsets").mapInArrow(tidy(run), schema)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import as_bytes, crc_mod, mix64, ready, slices
+from shopstream.llm.common import as_bytes, crc_mod, mix64, ready, slices, tidy
 from shopstream.llm.decontamination import words_of
 from shopstream.llm.training import fit_in_one_task, sample_by_class, training_rows
 
@@ -134,5 +134,5 @@ def score(docs: DataFrame, model: list[tuple[int, float]], threshold: float = TH
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (crc_mod(F.col("doc_id"), HELD_MOD) == HELD).alias("held_out"),
                        F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double") \
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double") \
         .withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))

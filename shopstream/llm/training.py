@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import crc_mod
+from shopstream.llm.common import crc_mod, tidy
 
 _BITS = 30
 #: Most rows (an id, a label, a number) of a sample that is broadcast.
@@ -66,4 +66,4 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[pa.Table], pa.RecordBatch]
         if parts:
             yield fit(pa.Table.from_batches(parts).select(names))
 
-    return sample.repartition(1).mapInArrow(run, schema)
+    return sample.repartition(1).mapInArrow(tidy(run), schema)
