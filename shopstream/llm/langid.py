@@ -162,16 +162,18 @@ def fit_crf(texts: list[bytes], langs: np.ndarray, n_langs: int, epochs: int = E
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature weights, transitions and start scores by AdaGrad on code-switched chains."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    data, start, end, doc, _ = split_words(texts)
-    bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
-    # Pieces of up to 20 words from random places of each document.
-    pieces = []
-    for d in range(len(texts)):
-        n = bounds[d + 1] - bounds[d]
+    # Pieces of up to 20 words from random places of each document; only their bytes are kept.
+    kept, pieces, n_kept = [], [], 0
+    for text, lang in zip(texts, langs):
+        data, start, end, _, _ = split_words([text])
+        n = len(start)
         for _ in range(PIECES if n else 0):
             size = min(int(rng.integers(4, 21)), n)
-            at = bounds[d] + int(rng.integers(0, n - size + 1))
-            pieces.append((at, size, langs[d]))
+            at = int(rng.integers(0, n - size + 1))
+            kept.append(b" ".join(data[a:b].tobytes() for a, b in zip(start[at:at + size], end[at:at + size])))
+            pieces.append((n_kept, size, lang))
+            n_kept += size
+    data, start, end, _, _ = split_words([b" ".join(kept)])
     w, tr, st = np.zeros((BUCKETS, n_langs)), np.zeros((n_langs, n_langs)), np.zeros(n_langs)
     g_w, g_tr, g_st = np.full_like(w, 1e-3), np.full_like(tr, 1e-3), np.full_like(st, 1e-3)
     h = word_hashes(data, start, end)
