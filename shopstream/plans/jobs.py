@@ -163,12 +163,20 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--mode", default="update", choices=["update", "complete", "append"])
     r.add_argument("--exact-uv", action="store_true",
                    help="exact distinct users per window (append mode, final rows)")
-    r.add_argument("--ahead-rows", help="folder for rows whose clock is far ahead")
+    r.add_argument("--ahead-rows", help="folder for rows whose clock is far ahead; default beside the checkpoint")
+    r.add_argument("--no-ahead-rows", action="store_true", help="only count such rows, keep none")
     land = sub.add_parser("landing", parents=[common, source])
     land.add_argument("--landing", required=True)
     return ap
 
 
+def ahead_rows_folder(args: argparse.Namespace) -> str | None:
+    """Where the realtime job keeps rows whose clock is far ahead; None if it is told to keep none."""
+    if args.no_ahead_rows:
+        return None
+    return args.ahead_rows or f"{args.checkpoint.rstrip('/')}-ahead-rows"
+
+
 def _main(argv: Sequence[str] | None = None) -> None:
     from shopstream.streaming.monitor import ProgressLogger
     from shopstream.streaming.realtime import (
@@ -212,8 +220,9 @@ def _main(argv: Sequence[str] | None = None) -> None:
         sink = realtime_table_sink(args.table, skip_unchanged=(mode == "complete"))
     else:
         ap.error("realtime needs --table or --jdbc-url")
-    if args.ahead_rows:
-        start_ahead_rows(messages, args.ahead_rows, f"{args.checkpoint.rstrip('/')}-ahead")
+    ahead_rows = ahead_rows_folder(args)
+    if ahead_rows:
+        start_ahead_rows(messages, ahead_rows, f"{args.checkpoint.rstrip('/')}-ahead")
     start_realtime_stats(messages, sink, args.checkpoint, mode=mode, exact_uv=args.exact_uv)
     spark.streams.awaitAnyTermination()
 

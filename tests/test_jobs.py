@@ -101,3 +101,29 @@ def test_command_line_options():
     assert ap.parse_args(["landing", "--path", "p", "--landing", "l", "--checkpoint", "c"]).landing == "l"
     with pytest.raises(SystemExit):
         ap.parse_args(["realtime", "--path", "p", "--table", "t"])       # no checkpoint
+
+
+def test_realtime_job_keeps_rows_far_ahead_by_default():
+    from shopstream.plans.jobs import _parser, ahead_rows_folder
+
+    base = ["realtime", "--path", "p", "--table", "t", "--checkpoint", "/c/q/"]
+    folder = lambda *more: ahead_rows_folder(_parser().parse_args([*base, *more]))
+    assert folder() == "/c/q-ahead-rows" and folder("--ahead-rows", "/x") == "/x"
+    assert folder("--no-ahead-rows") is None
+
+
+def test_realtime_job_starts_the_side_table(spark, monkeypatch):
+    from shopstream.plans import jobs
+    from shopstream.streaming import monitor, realtime
+
+    started = {}
+    monkeypatch.setattr(realtime, "read_message_stream", lambda *a, **k: "messages")
+    monkeypatch.setattr(realtime, "start_realtime_stats", lambda *a, **k: started.setdefault("stats", a[2]))
+    monkeypatch.setattr(realtime, "start_ahead_rows", lambda m, path, ckpt, **k: started.setdefault("ahead", (path, ckpt)))
+    monkeypatch.setattr(type(spark.streams), "awaitAnyTermination", lambda self, *a: None)
+    monkeypatch.setattr(type(spark.streams), "addListener", lambda self, x: None)
+    jobs._main(["realtime", "--path", "p", "--table", "t", "--checkpoint", "/c/q"])
+    assert started == {"stats": "/c/q", "ahead": ("/c/q-ahead-rows", "/c/q-ahead")}
+    started.clear()
+    jobs._main(["realtime", "--path", "p", "--table", "t", "--checkpoint", "/c/q", "--no-ahead-rows"])
+    assert started == {"stats": "/c/q"}
