@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import chat, decontamination, fingerprints, langid, mixing, parity_join, passages, quality, token_files, toxicity
+from shopstream.llm import (alignment, chat, decontamination, fingerprints, langid, mixing, parity_join, passages, permutation_index,
+                            quality, token_files, toxicity, whitening)
 from shopstream.llm.common import documents, ready
 
 
@@ -57,6 +58,18 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.link_components(documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(documents(spark, sf_dir))
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest_neighbours(ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -68,4 +81,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
     "op10_parity_join": op10_parity_join,
+    "op11_alignment": op11_alignment,
+    "op12_neighbours": op12_neighbours,
+    "op13_whitening": op13_whitening,
 }
