@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.money import money_out, to_money
+from shopstream.functions.money import MONEY, money_out, to_money
 from shopstream.functions.timefns import event_time, utc_day
 from shopstream.schema import BUY, CART, CLICK
 
@@ -37,6 +37,10 @@ def with_report_date(behavior: DataFrame, day_by: str = "event") -> DataFrame:
     raise ValueError(f"day_by must be 'event' or 'arrival', not {day_by!r}")
 
 
+# Kinds of the rows of ``daily_facts``.
+ITEM, CATEGORY, USER = "item", "category", "user"
+
+
 def _is_buy() -> Column:
     return F.col("behavior_type") == F.lit(BUY)
 
@@ -75,7 +79,12 @@ def top_products(behavior: DataFrame, k: int = TOP_K, day_by: str = "event") ->
     The rank filter runs as a partial top-k before the shuffle by day, so each
     day's final task receives at most k rows per upstream task.
     """
-    ranked = item_sales(behavior, day_by).withColumn("rank", _rank_by_sales("item_id"))
+    return best_items(item_sales(behavior, day_by), k)
+
+
+def best_items(items: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``report_date, rank, item_id, sales`` of the k best rows a day of ``item_sales``."""
+    ranked = items.withColumn("rank", _rank_by_sales("item_id"))
     return ranked.where(F.col("rank") <= k).select(
         "report_date", F.col("rank").cast("int").alias("rank"), "item_id",
         money_out("sales").alias("sales"),
@@ -120,27 +129,72 @@ def daily_report(behavior: DataFrame, day_by: str = "event") -> DataFrame:
     exchange rather than computing it twice.
     """
     days = with_report_date(behavior, day_by)
-    has_user = F.col("user_id").isNotNull()
+    users = days.select(
+        "report_date",
+        F.when(_is_stored(), F.col("behavior_type")).alias("behavior_type"),
+        F.when(_is_stored(), F.col("user_id")).alias("user_id"),
+    ).distinct()
+    return _report(users, item_sales(days))
 
-    def uv(kind: str) -> Column:
-        return F.count_if(has_user & (F.col("behavior_type") == F.lit(kind)))
 
+def _is_stored() -> Column:
     # Only the three stored types are counted. Rows of other types keep just
     # their day (type and user nulled), so they collapse to one row per day
     # and task before the distinct shuffle while every day stays present.
-    keep = F.col("behavior_type").isin(CLICK, CART, BUY)
-    user_counts = (
-        days.select(
-            "report_date",
-            F.when(keep, F.col("behavior_type")).alias("behavior_type"),
-            F.when(keep, F.col("user_id")).alias("user_id"),
-        )
-        .distinct()
-        .groupBy("report_date")
-        .agg(uv(CLICK).alias("click_uv"), uv(CART).alias("cart_uv"), uv(BUY).alias("buy_uv"))
-    )
+    return F.col("behavior_type").isin(CLICK, CART, BUY)
+
+
+def daily_facts(behavior: DataFrame, day_by: str = "event") -> DataFrame:
+    """Everything the daily results are made of, in one scan and one shuffle.
+
+    ``report_date, kind, key, user_id, sales``: a row for each (day, item) and (day, category) with
+    the sales of its buys, and for each (day, stored type, user); a day with none of these has a row
+    without type and user. A buy row takes part in three groups, others in one, and all are combined
+    before the shuffle, so a hot item, category or user costs one row per task.
+    """
+    days = with_report_date(behavior, day_by)
+
+    def fact(kind: str, key: Column, user: Column, amount: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), user.alias("user_id"), amount.alias("amount"))
+
+    nothing, money = F.lit(None).cast("string"), to_money("amount")
+    user = fact(USER, F.when(_is_stored(), F.col("behavior_type")), F.when(_is_stored(), F.col("user_id")),
+                F.lit(None).cast(MONEY))
+    facts = F.when(_is_buy(), F.array(fact(ITEM, F.col("item_id"), nothing, money),
+                                      fact(CATEGORY, F.col("category_id"), nothing, money), user)).otherwise(F.array(user))
+    return days.select("report_date", F.explode(facts).alias("fact")).select("report_date", "fact.*") \
+        .groupBy("report_date", "kind", "key", "user_id").agg(F.sum("amount").alias("sales"))
+
+
+def _sales_of(facts: DataFrame, kind: str, name: str) -> DataFrame:
+    return facts.where(F.col("kind") == kind).select("report_date", F.col("key").alias(name), "sales")
+
+
+def report_of(facts: DataFrame) -> DataFrame:
+    """``daily_report`` from ``daily_facts``."""
+    users = facts.where(F.col("kind") == USER).select("report_date", F.col("key").alias("behavior_type"), "user_id")
+    return _report(users, _sales_of(facts, ITEM, "item_id"))
+
+
+def top_products_of(facts: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``top_products`` from ``daily_facts``."""
+    return best_items(_sales_of(facts, ITEM, "item_id"), k)
+
+
+def category_sales_of(facts: DataFrame) -> DataFrame:
+    """``category_sales`` from ``daily_facts``, in no order."""
+    return _sales_of(facts, CATEGORY, "category_id").withColumn("sales", money_out("sales"))
+
+
+def _report(users: DataFrame, items: DataFrame) -> DataFrame:
+    """Report rows from distinct (report_date, behavior_type, user_id) and from item sales."""
+    has_user = F.col("user_id").isNotNull()
+
+    def uv(kind: str) -> Column:
+        return F.count_if(has_user & (F.col("behavior_type") == F.lit(kind)))
 
-    items = item_sales(days)
+    user_counts = users.groupBy("report_date").agg(
+        uv(CLICK).alias("click_uv"), uv(CART).alias("cart_uv"), uv(BUY).alias("buy_uv"))
     totals = items.groupBy("report_date").agg(F.sum("sales").alias("total_sales"))
     ranked = items.withColumn("rank", _rank_by_sales("item_id")).where(
         F.col("rank") <= REPORT_TOP

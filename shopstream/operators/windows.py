@@ -181,33 +181,42 @@ def _pane_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFr
 
 def _sketch_window_stats(behavior: DataFrame, size_s: int, slide_s: int) -> DataFrame:
     """Approximate uv from per-pane HLL sketches (pv and sales stay exact)."""
-    n = size_s // slide_s
     et = F.col("event_time") if "event_time" in behavior.columns else event_time("timestamp")
-    pane = F.floor(F.unix_seconds(et) / F.lit(slide_s)).cast("long")
+    pane = F.floor(F.unix_seconds(et) / F.lit(slide_s)) * F.lit(slide_s)
     per_pane = (
-        behavior.select(pane.alias("pane"), "user_id", "behavior_type", "amount")
-        .where(F.col("pane").isNotNull())
-        .groupBy("pane")
-        .agg(
-            F.count_if(_is("behavior_type", CLICK)).alias("pv"),
-            F.sum(
-                F.when(_is("behavior_type", BUY), to_money("amount")).otherwise(F.lit(0))
-            ).alias("sales"),
-            F.hll_sketch_agg("user_id").alias("users"),
-        )
+        behavior.select(F.timestamp_seconds(pane).alias("pane_start"), "user_id", "behavior_type", "amount")
+        .where(F.col("pane_start").isNotNull())
+        .groupBy("pane_start")
+        .agg(*pane_aggregates())
     )
-    spread = per_pane.select(
-        "pv", "sales", "users",
-        F.explode(F.sequence(F.col("pane") - F.lit(n - 1), F.col("pane"))).alias("win"),
-    )
-    per_window = spread.groupBy("win").agg(
+    return united_windows(in_windows(per_pane, f"{size_s} seconds", f"{slide_s} seconds"), f"{size_s} seconds")
+
+
+def pane_aggregates():
+    """The aggregates of a pane: click count, sales and a mergeable sketch of its users (shared with streaming)."""
+    return [
+        F.count_if(_is("behavior_type", CLICK)).alias("pv"),
+        F.sum(F.when(_is("behavior_type", BUY), to_money("amount")).otherwise(F.lit(0))).alias("sales"),
+        F.hll_sketch_agg("user_id").alias("users"),
+    ]
+
+
+def in_windows(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """A row for each window (``win``, start in epoch seconds) that holds the pane."""
+    at, step = F.unix_seconds("pane_start"), duration_seconds(slide)
+    return panes.withColumn("win", F.explode(F.sequence(at - F.lit(duration_seconds(size) - step), at, F.lit(step).cast("long"))))
+
+
+def united_windows(panes: DataFrame, size: str) -> DataFrame:
+    """Window rows from the panes of each ``win``; uv is the estimate of the united sketches."""
+    per_window = panes.groupBy("win").agg(
         F.sum("pv").alias("pv"),
         F.hll_sketch_estimate(F.hll_union_agg("users")).alias("uv"),
         F.sum("sales").alias("sales"),
     )
     return per_window.select(
-        F.timestamp_seconds(F.col("win") * F.lit(slide_s)).alias("window_start"),
-        F.timestamp_seconds(F.col("win") * F.lit(slide_s) + F.lit(size_s)).alias("window_end"),
+        F.timestamp_seconds("win").alias("window_start"),
+        F.timestamp_seconds(F.col("win") + F.lit(duration_seconds(size))).alias("window_end"),
         F.col("pv").cast("long").alias("pv"),
         F.col("uv").cast("long").alias("uv"),
         money_out("sales").alias("sales"),

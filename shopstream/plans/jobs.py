@@ -2,7 +2,7 @@
 
 Daily job, for one or many days in one pass:
     landing JSON (dt=/hour=) -> warehouse Parquet (dynamic overwrite of those
-    days) -> report, top products and category sales -> keyed upserts
+    days) -> one aggregate -> report, top products and category sales -> keyed upserts
 
 Realtime job:
     messages (Kafka or files) -> window stats -> foreachBatch upsert
@@ -11,7 +11,7 @@ Landing job:
     messages (Kafka or files) -> text files under dt=/hour= of arrival
 
     python -m shopstream.plans.jobs daily --landing L --warehouse W --reports R [--top-products T]
-        [--category-sales C] [--date D ...] [--timezone Z] [--jdbc-url U --jdbc-table T ...]
+        [--category-sales C] [--unreadable G] [--date D ...] [--timezone Z] [--jdbc-url U --jdbc-table T ...]
     python -m shopstream.plans.jobs realtime (--bootstrap-servers H:P | --path DIR) --checkpoint C
         (--table T | --jdbc-url U) [--mode M] [--exact-uv] [--kafka-option k=v ...]
     python -m shopstream.plans.jobs landing (--bootstrap-servers H:P | --path DIR) --landing L --checkpoint C
@@ -27,9 +27,10 @@ from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.functions.jsonfns import unreadable
 from shopstream.functions.money import odd_amount
 from shopstream.functions.timefns import odd_time
 from shopstream.operators import daily
@@ -52,20 +53,27 @@ class DailyOutputs:
     category_sales: DataFrame   # sales per category per day
 
 
-def daily_outputs(warehouse: DataFrame) -> DailyOutputs:
+def daily_outputs(facts: DataFrame) -> DailyOutputs:
+    """All results of the days of ``daily.daily_facts``."""
     return DailyOutputs(
-        report=daily.daily_report(warehouse, day_by="arrival"),
-        top_products=daily.top_products(warehouse, day_by="arrival"),
-        category_sales=daily.category_sales(warehouse, day_by="arrival", sort=False),
+        report=daily.report_of(facts),
+        top_products=daily.top_products_of(facts),
+        category_sales=daily.category_sales_of(facts),
     )
 
 
 def land_to_warehouse(
     spark: SparkSession, landing: str, warehouse: str, dates: Sequence[str] | None,
-    suffix: str = files.LANDING_SUFFIX,
+    suffix: str = files.LANDING_SUFFIX, checks: Observation | None = None,
 ) -> DataFrame:
-    """Convert the landed days to Parquet and return the warehouse rows of those days."""
+    """Convert the landed days to Parquet and return the warehouse rows of those days.
+
+    ``checks`` takes the counts of odd input from the pass that writes them.
+    """
     raw = files.read_raw_landing(spark, landing, dates, suffix=suffix).drop("hour")
+    if checks is not None:
+        raw = raw.observe(checks, F.count_if(unreadable()).alias("unreadable"), F.count_if(odd_time()).alias("odd_times"),
+                          F.count_if(odd_amount("amount")).alias("odd_amounts"))
     many_days = dates is None or len(dates) > 1
     files.write_warehouse(
         raw.withColumn("dt", F.date_format("dt", "yyyy-MM-dd")), warehouse, cluster_days=many_days, dates=dates
@@ -92,17 +100,23 @@ def run_daily(
     suffix: str = files.LANDING_SUFFIX,
     top_products: str | None = None,
     category_sales: str | None = None,
+    unreadable_lines: str | None = None,
 ) -> DailyOutputs:
     """The nightly job. ``dates=None`` means every landed day.
 
+    The warehouse is scanned once, into ``daily_facts``, of which every result is made; it
+    is kept for the stores of this run. Odd input is counted while the days are converted.
     The report is upserted by ``report_date`` into a file table at ``reports``
     and/or a JDBC table (``jdbc`` has url, dbtable, credentials and optionally
     dialect, max_connections and ddl). The ten best products and the sales by
-    category go to file tables at ``top_products`` and ``category_sales``. A
+    category go to file tables at ``top_products`` and ``category_sales``. Lines of
+    which nothing can be read go to Parquet at ``unreadable_lines``, by ``dt``. A
     failed write raises.
     """
-    rows = land_to_warehouse(spark, landing, warehouse, dates, suffix)
-    out = daily_outputs(rows)
+    checks = Observation("input_checks")
+    rows = land_to_warehouse(spark, landing, warehouse, dates, suffix, checks)
+    facts = daily.daily_facts(rows, day_by="arrival").persist(StorageLevel.MEMORY_AND_DISK)
+    out = daily_outputs(facts)
     report = out.report
     if reports and jdbc:
         report = report.persist(StorageLevel.MEMORY_AND_DISK)  # a row a day, for both sinks
@@ -116,14 +130,16 @@ def run_daily(
             if ddl:
                 ensure_jdbc_table(spark, url, table, ddl, opts)
             upsert_jdbc(report, url, table, DAILY_KEYS, opts, dialect=dialect, max_connections=most)
+        if top_products:
+            _store_days(out.top_products, top_products, many=True)
+        if category_sales:
+            _store_days(out.category_sales, category_sales, many=True)
     finally:
         report.unpersist()
-    if top_products:
-        _store_days(out.top_products, top_products, many=True)
-    if category_sales:
-        _store_days(out.category_sales, category_sales, many=True)
-    odd = rows.agg(F.count_if(odd_time()).alias("odd_times"), F.count_if(odd_amount("amount")).alias("odd_amounts")).first()
-    log.info("daily report written for %s; %s", "all days" if dates is None else ",".join(dates), odd.asDict())
+        facts.unpersist()
+    if unreadable_lines:
+        files.write_days(files.read_unreadable(spark, landing, dates, suffix), unreadable_lines, dates)
+    log.info("daily report written for %s; %s", "all days" if dates is None else ",".join(dates), checks.get)
     return out
 
 
@@ -150,12 +166,14 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--starting-offsets", default="latest")
     source.add_argument("--kafka-option", action="append", metavar="K=V", help="for example maxOffsetsPerTrigger=100000")
     source.add_argument("--checkpoint", required=True, help="the query's own folder on shared storage")
+    source.add_argument("--max-file-age", help="with --path: leave out files older than the newest by more than this")
     d = sub.add_parser("daily", parents=[common, jdbc])
     d.add_argument("--landing", required=True)
     d.add_argument("--warehouse", required=True)
     d.add_argument("--reports")
     d.add_argument("--top-products")
     d.add_argument("--category-sales")
+    d.add_argument("--unreadable", help="folder for landed lines of which nothing can be read")
     d.add_argument("--date", action="append", help="yyyy-MM-dd; default yesterday in the zone")
     d.add_argument("--suffix", default=files.LANDING_SUFFIX)
     r = sub.add_parser("realtime", parents=[common, jdbc, source])
@@ -163,15 +181,18 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--mode", default="update", choices=["update", "complete", "append"])
     r.add_argument("--exact-uv", action="store_true",
                    help="exact distinct users per window (append mode, final rows)")
-    r.add_argument("--ahead-rows", help="folder for rows whose clock is far ahead; default beside the checkpoint")
+    r.add_argument("--panes", help="file table of minute panes: state is a row for each minute instead of each window")
+    r.add_argument("--ahead-rows", help="folder for rows whose clock is far ahead and for unreadable and damaged messages; "
+                                        "default beside the checkpoint")
     r.add_argument("--no-ahead-rows", action="store_true", help="only count such rows, keep none")
     land = sub.add_parser("landing", parents=[common, source])
     land.add_argument("--landing", required=True)
+    land.add_argument("--archive", help="with --path: landed files move to this folder outside of it")
     return ap
 
 
 def ahead_rows_folder(args: argparse.Namespace) -> str | None:
-    """Where the realtime job keeps rows whose clock is far ahead; None if it is told to keep none."""
+    """Where the realtime job keeps what it can't count (``side_rows``); None if it is told to keep none."""
     if args.no_ahead_rows:
         return None
     return args.ahead_rows or f"{args.checkpoint.rstrip('/')}-ahead-rows"
@@ -183,9 +204,10 @@ def _main(argv: Sequence[str] | None = None) -> None:
         read_message_stream,
         realtime_jdbc_sink,
         realtime_table_sink,
-        start_ahead_rows,
+        start_pane_stats,
         start_raw_landing,
         start_realtime_stats,
+        start_side_rows,
     )
 
     ap = _parser()
@@ -202,15 +224,26 @@ def _main(argv: Sequence[str] | None = None) -> None:
         if not (args.reports or jdbc):
             ap.error("daily needs --reports or --jdbc-url")
         run_daily(spark, args.landing, args.warehouse, args.reports, args.date or default_dates(args.timezone),
-                  jdbc=jdbc, suffix=args.suffix, top_products=args.top_products, category_sales=args.category_sales)
+                  jdbc=jdbc, suffix=args.suffix, top_products=args.top_products, category_sales=args.category_sales,
+                  unreadable_lines=args.unreadable)
         return
     spark.streams.addListener(ProgressLogger())
     messages = read_message_stream(spark, bootstrap_servers=args.bootstrap_servers, topic=args.topic, path=args.path,
-                                   starting_offsets=args.starting_offsets, kafka_options=_pairs(args.kafka_option))
+                                   starting_offsets=args.starting_offsets, kafka_options=_pairs(args.kafka_option),
+                                   archive=getattr(args, "archive", None), max_file_age=args.max_file_age)
     if args.job == "landing":
         start_raw_landing(messages, args.landing, args.checkpoint, zone=args.timezone).awaitTermination()
         return
+    ahead_rows = ahead_rows_folder(args)
+    if ahead_rows:
+        start_side_rows(messages, ahead_rows, f"{args.checkpoint.rstrip('/')}-ahead")
     mode = "append" if args.exact_uv else args.mode
+    if args.panes:
+        if args.exact_uv or args.jdbc_url or not args.table:
+            ap.error("--panes goes with --table, and not with --exact-uv")
+        start_pane_stats(messages, args.panes, args.table, args.checkpoint, mode=mode)
+        spark.streams.awaitAnyTermination()
+        return
     if args.jdbc_url:
         table, props = args.jdbc_table or "realtime_stats", _pairs(args.jdbc_option)
         if args.jdbc_create:
@@ -220,9 +253,6 @@ def _main(argv: Sequence[str] | None = None) -> None:
         sink = realtime_table_sink(args.table, skip_unchanged=(mode == "complete"))
     else:
         ap.error("realtime needs --table or --jdbc-url")
-    ahead_rows = ahead_rows_folder(args)
-    if ahead_rows:
-        start_ahead_rows(messages, ahead_rows, f"{args.checkpoint.rstrip('/')}-ahead")
     start_realtime_stats(messages, sink, args.checkpoint, mode=mode, exact_uv=args.exact_uv)
     spark.streams.awaitAnyTermination()
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopstream.functions.jsonfns import decode_messages, unreadable
 from shopstream.functions.timefns import local_wall_clock
 from shopstream.schema import BEHAVIOR
 from shopstream.sources.tables import delete_path, list_names, path_exists
@@ -127,6 +128,21 @@ def read_raw_landing(
     return _day_filter(_check_suffix(spark, df, days, suffix), dates)
 
 
+def read_unreadable(spark: SparkSession, base: str, dates: Iterable[str] | None = None,
+                    suffix: str = LANDING_SUFFIX) -> DataFrame:
+    """``dt, hour, message``: landed lines of which no field can be read. ``read_raw_landing`` gives rows of nulls for
+    them; blank lines, which it skips, are left out here too."""
+    base = base.rstrip("/")
+    refuse_commit_log(spark, base)
+    days = [f"{base}/{n}" for n in list_names(spark, base) if n.startswith("dt=")] if dates is None \
+        else _day_paths(spark, base, dates)
+    if not days:
+        return spark.createDataFrame([], "dt date, hour int, message string")
+    lines = _day_filter(spark.read.option("pathGlobFilter", suffix).option("basePath", base).text(days), dates)
+    rows = decode_messages(lines.withColumn("message", F.col("value")).where(F.trim("value") != ""))
+    return rows.where(unreadable()).select("dt", "hour", "message")
+
+
 def write_warehouse(behavior: DataFrame, base: str, cluster_days: bool = False, dates: Iterable[str] | None = None,
                     max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Write behavior rows with a ``dt`` column into the warehouse.
@@ -158,6 +174,17 @@ def write_warehouse(behavior: DataFrame, base: str, cluster_days: bool = False,
             delete_path(spark, folder)
 
 
+def write_days(rows: DataFrame, base: str, dates: Iterable[str] | None = None) -> None:
+    """Put rows with a ``dt`` column into a Parquet folder by day, in place of what it has for their days and for ``dates``."""
+    spark = rows.sparkSession
+    there = set(_day_paths(spark, base, dates or []))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(base)
+    now = {str(r[0]) for r in rows.select("dt").distinct().collect()}
+    for folder in there:
+        if folder.rsplit("dt=", 1)[-1] not in now:
+            delete_path(spark, folder)
+
+
 WAREHOUSE = T.StructType(BEHAVIOR.fields + [T.StructField("dt", T.DateType())])
 
 

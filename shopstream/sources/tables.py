@@ -17,7 +17,11 @@ holding the latest value, so the streaming sink can be retried safely.
 Layout of a file table (one writer at a time):
 
     <path>/version=<id>/<partition_col>=<value>/*.parquet
-    <path>/_pointer/<number>      JSON: partition folder name -> version id
+    <path>/_pointer/<number>      JSON: schema, and partition folder name -> version id
+
+Reads take the schema and the folders from the pointer: nothing is inferred from
+footers, and a batch lists the folders of the partitions it touches only,
+however many the table has.
 """
 
 from __future__ import annotations
@@ -25,10 +29,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Partitions one batch may touch. More means that the partition column is not
 #: a coarse one, which is refused rather than cut.
@@ -74,23 +81,49 @@ def _pointers(spark: SparkSession, path: str) -> list[str]:
     return [n for n in list_names(spark, f"{path}/_pointer") if n.isdigit()]
 
 
-def _read_pointer(spark: SparkSession, path: str, name: str) -> dict[str, str]:
+@dataclass
+class _Pointer:
+    """A state of the table: the version that holds each partition's folder, and the table's schema."""
+    folders: dict[str, str] = field(default_factory=dict)
+    schema: T.StructType | None = None
+
+    def text(self) -> str:
+        return json.dumps({"schema": self.schema.jsonValue() if self.schema else None, "folders": self.folders}, sort_keys=True)
+
+    @classmethod
+    def of(cls, text: str) -> _Pointer:
+        content = json.loads(text)
+        if not isinstance(content.get("folders"), dict):  # of before the schema was kept: the folders alone
+            return cls(content)
+        return cls(content["folders"], T.StructType.fromJson(content["schema"]) if content["schema"] else None)
+
+    def only(self, column: str, values: Sequence[str | None]) -> _Pointer:
+        """The partitions whose ``column`` has one of the values, given as text."""
+        wanted = {_NO_VALUE if v is None or v == "" else v for v in values}
+        return _Pointer({k: v for k, v in self.folders.items() if unquote(k.removeprefix(f"{column}=")) in wanted}, self.schema)
+
+
+# Fixed value: the folder that Spark writes for a null or empty partition value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _read_pointer(spark: SparkSession, path: str, name: str) -> _Pointer:
     p, fs = _hadoop_path(spark, f"{path}/_pointer/{name}")
     stream = fs.open(p)
     try:
         data = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
     finally:
         stream.close()
-    return json.loads(data.decode())
+    return _Pointer.of(data.decode())
 
 
-def _write_pointer(spark: SparkSession, path: str, name: str, content: dict[str, str]) -> None:
+def _write_pointer(spark: SparkSession, path: str, name: str, content: _Pointer) -> None:
     """Write beside, then rename: the pointer is there as a whole or not at all."""
     target, fs = _hadoop_path(spark, f"{path}/_pointer/{name}")
     draft, _ = _hadoop_path(spark, f"{path}/_pointer/.{name}-{uuid.uuid4().hex}")
     stream = fs.create(draft, True)
     try:
-        stream.write(json.dumps(content, sort_keys=True).encode())
+        stream.write(content.text().encode())
     finally:
         stream.close()
     if fs.exists(target) or not fs.rename(draft, target):
@@ -98,12 +131,22 @@ def _write_pointer(spark: SparkSession, path: str, name: str, content: dict[str,
         raise RuntimeError(f"{path} was changed by another writer")
 
 
-def _folders(pointer: dict[str, str], path: str) -> list[str]:
-    return [f"{path}/version={v}/{folder}" for folder, v in sorted(pointer.items())]
+def _load(spark: SparkSession, path: str, pointer: _Pointer) -> DataFrame | None:
+    """The rows of the pointer's partitions; None if it has none."""
+    if not pointer.folders:
+        return None
+    reader = spark.read.option("basePath", path)
+    if pointer.schema is not None:
+        reader = reader.schema(pointer.schema)
+    folders = [f"{path}/version={v}/{folder}" for folder, v in sorted(pointer.folders.items())]
+    return reader.parquet(*folders).drop("version")
 
 
-def _load(spark: SparkSession, path: str, pointer: dict[str, str]) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(*_folders(pointer, path)).drop("version")
+def read_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str | None]) -> DataFrame | None:
+    """The partitions of the file table whose ``column`` has one of the values (as text); the others are not listed."""
+    path = path.rstrip("/")
+    names = _pointers(spark, path)
+    return _load(spark, path, _read_pointer(spark, path, names[-1]).only(column, values)) if names else None
 
 
 def read_table(spark: SparkSession, path: str, newest: int | None = None) -> DataFrame | None:
@@ -118,14 +161,14 @@ def read_table(spark: SparkSession, path: str, newest: int | None = None) -> Dat
         return None
     pointer = _read_pointer(spark, path, names[-1])
     if newest is not None:
-        pointer = {k: pointer[k] for k in sorted(pointer)[-newest:]}
-    return _load(spark, path, pointer) if pointer else None
+        pointer = _Pointer({k: pointer.folders[k] for k in sorted(pointer.folders)[-newest:]}, pointer.schema)
+    return _load(spark, path, pointer)
 
 
 def partition_names(spark: SparkSession, path: str) -> list[str]:
     """Folder names (``column=value``) of the table's partitions, in order."""
     names = _pointers(spark, path.rstrip("/"))
-    return sorted(_read_pointer(spark, path.rstrip("/"), names[-1])) if names else []
+    return sorted(_read_pointer(spark, path.rstrip("/"), names[-1]).folders) if names else []
 
 
 # ---------------------------------------------------------------- file upsert
@@ -164,43 +207,52 @@ def upsert_files(
     """
     spark = updates.sparkSession
     path = path.rstrip("/")
-    given = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = updates.storageLevel.useMemory or updates.storageLevel.useDisk  # by the caller, who may go on using it
+    given = updates if kept else updates.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         updates = given if many_per_key else _one_row_per_key(given, keys, order_by)
-        touched = [r[0] for r in updates.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
+        touched = [r[0] for r in updates.select(F.col(partition_col).cast("string")).distinct().limit(MAX_TOUCHED + 1).collect()]
         if len(touched) > MAX_TOUCHED:
             raise ValueError(f"a batch touches more than {MAX_TOUCHED} values of {partition_col}")
         if not touched:
             return
         names = _pointers(spark, path)
-        pointer = _read_pointer(spark, path, names[-1]) if names else {}
+        pointer = _read_pointer(spark, path, names[-1]) if names else _Pointer()
         merged = updates
-        if pointer:
-            existing = _load(spark, path, pointer)
-            known = F.col(partition_col).isin([t for t in touched if t is not None])
-            old = existing.where(known | F.col(partition_col).isNull() if None in touched else known)
-            same = [old[k].eqNullSafe(updates[k]) for k in keys]
-            cond = same[0]
-            for c in same[1:]:
-                cond = cond & c
-            merged = old.join(updates.select(*keys), cond, "left_anti") \
-                .unionByName(updates.select(*existing.columns))
+        if pointer.folders:
+            old = _load(spark, path, pointer.only(partition_col, touched))
+            columns = pointer.schema.names if pointer.schema is not None else _load(spark, path, pointer).columns
+            merged = updates.select(*columns)
+            if old is not None:
+                same = [old[k].eqNullSafe(updates[k]) for k in keys]
+                cond = same[0]
+                for c in same[1:]:
+                    cond = cond & c
+                merged = old.join(updates.select(*keys), cond, "left_anti").unionByName(merged)
         version = uuid.uuid4().hex
+        schema = pointer.schema or _table_schema(merged, partition_col)
         merged.repartition(partition_col).write.partitionBy(partition_col).parquet(f"{path}/version={version}")
     finally:
-        given.unpersist()
+        if not kept:
+            given.unpersist()
     written = [n for n in list_names(spark, f"{path}/version={version}") if "=" in n]
     number = int(names[-1]) + 1 if names else 0
-    _write_pointer(spark, path, f"{number:012d}", {**pointer, **{n: version for n in written}})
+    _write_pointer(spark, path, f"{number:012d}", _Pointer({**pointer.folders, **{n: version for n in written}}, schema))
     _drop_unused(spark, path)
 
 
+def _table_schema(rows: DataFrame, partition_col: str) -> T.StructType:
+    """Columns in the order of a read: the partition column last."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema if f.name != partition_col]
+                        + [T.StructField(partition_col, rows.schema[partition_col].dataType)])
+
+
 def _drop_unused(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete partition folders that none of the last ``keep`` pointers names (readers may hold the one before)."""
     names = _pointers(spark, path)
-    used = {(v, k) for n in names[-keep:] for k, v in _read_pointer(spark, path, n).items()}
+    used = {(v, k) for n in names[-keep:] for k, v in _read_pointer(spark, path, n).folders.items()}
     for n in names[:-keep]:
-        for k, v in _read_pointer(spark, path, n).items():
+        for k, v in _read_pointer(spark, path, n).folders.items():
             if (v, k) not in used:
                 delete_path(spark, f"{path}/version={v}/{k}")
         delete_path(spark, f"{path}/_pointer/{n}")

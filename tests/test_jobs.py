@@ -79,6 +79,51 @@ def test_landing_days_in_a_zone_eight_hours_ahead(spark):
     assert [(r.report_date, r.click_uv, r.buy_uv) for r in out.report.collect()] == [(dt.date(2023, 11, 15), 1, 0)]
 
 
+def test_one_scan_of_the_warehouse_for_all_results(spark, monkeypatch):
+    from shopstream.operators import daily
+    from shopstream.plans import jobs
+
+    landing, warehouse = scratch_path(spark, "one-land"), scratch_path(spark, "one-wh")
+    _land(landing, "2023-11-14", "22", SAMPLE_MESSAGES)
+    kept, leaves = {}, []
+
+    def leaf_names(df):
+        found = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return [found.apply(i).nodeName() for i in range(found.size())]
+
+    def facts(rows, day_by):
+        kept["facts"] = daily.__dict__["_plain_facts"](rows, day_by)
+        return kept["facts"]
+
+    monkeypatch.setattr(daily, "_plain_facts", daily.daily_facts, raising=False)
+    monkeypatch.setattr(daily, "daily_facts", facts)
+    monkeypatch.setattr(jobs, "_store_days", lambda rows, path, many=False: leaves.append(leaf_names(rows)))
+    run_daily(spark, landing, warehouse, "r", dates=["2023-11-14"], top_products="t", category_sales="c")
+    assert len(leaf_names(kept["facts"])) == 1                                    # one scan of the warehouse
+    assert len(leaves) == 3 and all(set(x) == {"InMemoryRelation"} for x in leaves)  # every result comes from the kept facts
+
+
+def test_odd_input_is_counted_and_unreadable_lines_are_kept(spark, caplog):
+    import logging
+
+    landing, kept = scratch_path(spark, "odd-land"), scratch_path(spark, "odd-kept")
+    lines = [*SAMPLE_MESSAGES, "garbage", "", '{"user_id":"u_9","amount":"x","timestamp":1700000000000}', "[1, 2]", "{}",
+             '{"user_id":"u_1","behavior_type":"buy","amount":1e17,"timestamp":1700000000000000000}']
+    _land(landing, "2023-11-14", "22", lines)
+    _land(landing, "2023-11-15", "01", SAMPLE_MESSAGES[:1] + ["more garbage"])
+    with caplog.at_level(logging.INFO, logger="shopstream.jobs"):
+        run_daily(spark, landing, scratch_path(spark, "odd-wh"), None, dates=["2023-11-14"], unreadable_lines=kept)
+    assert "'unreadable': 3" in caplog.text and "'odd_times': 1" in caplog.text and "'odd_amounts': 1" in caplog.text
+    got = lambda: sorted((str(r.dt), r.message) for r in spark.read.parquet(kept).collect())
+    assert got() == [("2023-11-14", "[1, 2]"), ("2023-11-14", "garbage"), ("2023-11-14", "{}")]
+    run_daily(spark, landing, scratch_path(spark, "odd-wh"), None, dates=["2023-11-15"], unreadable_lines=kept)
+    assert len(got()) == 4                                                          # other days stay
+    os.remove(next(e.path for e in os.scandir(os.path.join(landing, "dt=2023-11-14", "hour=22"))))
+    _land(landing, "2023-11-14", "22", SAMPLE_MESSAGES)
+    run_daily(spark, landing, scratch_path(spark, "odd-wh"), None, dates=["2023-11-14"], unreadable_lines=kept)
+    assert got() == [("2023-11-15", "more garbage")]                                # a repaired day has none any more
+
+
 def test_stored_products_and_categories(spark):
     landing, warehouse = scratch_path(spark, "st-land"), scratch_path(spark, "st-wh")
     tops, cats = scratch_path(spark, "st-top"), scratch_path(spark, "st-cat")
@@ -119,7 +164,7 @@ def test_realtime_job_starts_the_side_table(spark, monkeypatch):
     started = {}
     monkeypatch.setattr(realtime, "read_message_stream", lambda *a, **k: "messages")
     monkeypatch.setattr(realtime, "start_realtime_stats", lambda *a, **k: started.setdefault("stats", a[2]))
-    monkeypatch.setattr(realtime, "start_ahead_rows", lambda m, path, ckpt, **k: started.setdefault("ahead", (path, ckpt)))
+    monkeypatch.setattr(realtime, "start_side_rows", lambda m, path, ckpt, **k: started.setdefault("ahead", (path, ckpt)))
     monkeypatch.setattr(type(spark.streams), "awaitAnyTermination", lambda self, *a: None)
     monkeypatch.setattr(type(spark.streams), "addListener", lambda self, x: None)
     jobs._main(["realtime", "--path", "p", "--table", "t", "--checkpoint", "/c/q"])

@@ -217,14 +217,14 @@ def _run_files(spark, name, files, mode="update", **options):
 
 
 def test_one_wrong_clock_closes_nobodys_windows(spark):
-    from shopstream.streaming.realtime import start_ahead_rows
+    from shopstream.streaming.realtime import start_side_rows
 
     wrong = _msg(40_000_000, "click")                     # some 76 years ahead
     src, table, q = _run_files(spark, "clock", [[_msg(0, "click"), wrong], [_msg(10, "click")], [_msg(20, "buy", 3.0)]])
     got = {r[0]: (r[2], r[3]) for r in _windows(spark, table)}
     assert got == {BASE: (1, 0.0), BASE + dt.timedelta(minutes=10): (1, 0.0), BASE + dt.timedelta(minutes=20): (0, 3.0)}
     side = scratch_path(spark, "clock-side")
-    a = start_ahead_rows(read_message_stream(spark, path=src), side, scratch_path(spark, "clock-side-ckpt"), available_now=True)
+    a = start_side_rows(read_message_stream(spark, path=src), side, scratch_path(spark, "clock-side-ckpt"), available_now=True)
     a.awaitTermination()
     assert [r.behavior_type for r in spark.read.parquet(side).collect()] == ["click"]
 

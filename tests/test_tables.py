@@ -142,6 +142,64 @@ def test_readers_of_the_table_before_a_batch_keep_their_files(spark):
     assert len(folders) <= 4
 
 
+def test_a_batch_of_one_day_reads_one_folder_of_many(spark, monkeypatch):
+    path = scratch_path(spark, "t-400")
+    t, five = dt.datetime(2024, 1, 1), dt.timedelta(minutes=5)
+    days = [t + dt.timedelta(days=d) for d in range(400)]
+    upsert_files(_stats(spark, [(d, d + five, i, 1, 1.0) for i, d in enumerate(days)]), path, REALTIME_KEYS, "window_day")
+    # Files of the other days can't be read any more: nothing but the touched day may be opened.
+    (name,) = tables._pointers(spark, path)
+    folders = tables._read_pointer(spark, path, name).folders
+    assert len(folders) == 400
+    import glob
+    for folder, version in folders.items():
+        if folder != "window_day=2024-02-01":
+            for f in glob.glob(f"{path}/version={version}/{folder}/*.parquet"):
+                with open(f, "wb") as fh:
+                    fh.write(b"no parquet")
+    seen = []
+    plain = tables._load
+
+    def load(spark, path, pointer):
+        df = plain(spark, path, pointer)
+        seen.append([f.split("/")[-2] for f in df.inputFiles()])
+        return df
+    monkeypatch.setattr(tables, "_load", load)
+    day = dt.datetime(2024, 2, 1)
+    upsert_files(_stats(spark, [(day + five, day + 2 * five, 7, 7, 7.0)]), path, REALTIME_KEYS, "window_day")
+    assert seen == [["window_day=2024-02-01"]]
+    got = tables.read_partitions(spark, path, "window_day", ["2024-02-01"]).collect()
+    assert sorted((r.window_start, r.pv) for r in got) == [(day, 31), (day + five, 7)]
+    assert len(tables.partition_names(spark, path)) == 400
+
+
+def test_partition_values_that_need_escaping_and_null(spark):
+    path = scratch_path(spark, "t-escape")
+    schema = "k long, v long, part string"
+    rows = [(1, 1, "a/b=c d%"), (2, 2, None), (3, 3, "plain"), (4, 4, "ü:x")]
+    upsert_files(spark.createDataFrame(rows, schema), path, ["k"], "part")
+    upsert_files(spark.createDataFrame([(1, 10, "a/b=c d%"), (2, 20, None), (5, 50, "ü:x")], schema), path, ["k"], "part")
+    got = {r.k: (r.v, r.part) for r in read_table(spark, path).collect()}
+    assert got == {1: (10, "a/b=c d%"), 2: (20, None), 3: (3, "plain"), 4: (4, "ü:x"), 5: (50, "ü:x")}
+
+
+def test_a_pointer_without_schema_is_still_read(spark):
+    import json
+
+    path, t0, t1, five = _three_windows(spark, "t-old-pointer")
+    (name,) = tables._pointers(spark, path)
+    folders = tables._read_pointer(spark, path, name).folders
+    with open(f"{path}/_pointer/{name}", "w") as fh:                # as written before the schema was kept
+        fh.write(json.dumps(folders))
+    crc = f"{path}/_pointer/.{name}.crc"
+    import os
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert _pv(spark, path) == {t0: 1, t0 + five: 4, t1: 2}
+    upsert_files(_stats(spark, [(t1, t1 + five, 9, 9, 9.0)]), path, REALTIME_KEYS, "window_day")
+    assert _pv(spark, path) == {t0: 1, t0 + five: 4, t1: 9}
+
+
 def test_a_key_twice_in_a_batch(spark):
     import pytest
 
