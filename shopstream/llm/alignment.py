@@ -42,15 +42,14 @@ from shopstream.llm.common import Scratch, ready, slices, tidy
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 #: Text aligned at a time, a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Ids fit 16 bits; a pair is the id of A times this plus the id of B.
 _SIDE = 1 << 16
 #: Units kept by a task's cache, and units encoded in a row.
-UNITS = 400_000
+UNITS = 250_000
 _LEARN = 16_384
 
-BLOCK_SCHEMA = ("doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-                "groups_sha256 array<string>, pairs binary, pair_links binary, links binary, link_bytes int")
+BLOCK_SCHEMA = "docs binary, pairs binary, pair_links binary, links binary, link_bytes int"
 DIGEST_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
                  "groups_sha256 string")
 GROUP_SCHEMA = ("doc_id long, a_ids array<int>, b_ids array<int>, a_stops array<int>, b_stops array<int>, "
@@ -324,8 +323,10 @@ def _blocks(paths: tuple[str, str]):
             place = np.empty(len(order), np.uint16 if len(order) <= _SIDE else np.uint32)
             place[order] = np.arange(len(order))
             packed = place[code].tobytes()
-            row = [ids, n_a.tolist(), n_b.tolist(), np.diff(groups, prepend=0).tolist(), np.diff(links, prepend=0).tolist(),
-                   digest, distinct[order].astype("<u4").tobytes(),
+            docs = pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()), pa.array(n_a), pa.array(n_b), pa.array(np.diff(groups, prepend=0)),
+                pa.array(np.diff(links, prepend=0)), pa.array(digest, pa.string())], names=list(_DOC_COLUMNS))
+            row = [docs.serialize().to_pybytes(), distinct[order].astype("<u4").tobytes(),
                    np.bincount(code, minlength=len(order))[order].astype("<u4").tobytes(),
                    codec.compress(packed, asbytes=True) if packed else b"", len(packed)]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK_ARROW.types)],
@@ -333,9 +334,10 @@ def _blocks(paths: tuple[str, str]):
     return run
 
 
-_LONGS = pa.list_(pa.int64())
-_BLOCK_ARROW = pa.schema([("doc_id", _LONGS), ("n_a", _LONGS), ("n_b", _LONGS), ("n_groups", _LONGS), ("n_links", _LONGS),
-                          ("groups_sha256", pa.list_(pa.string())), ("pairs", pa.binary()), ("pair_links", pa.binary()),
+#: What a block knows of its documents, before the counts come back.
+_DOC_COLUMNS = {"doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
+                "groups_sha256": pa.string()}
+_BLOCK_ARROW = pa.schema([("docs", pa.binary()), ("pairs", pa.binary()), ("pair_links", pa.binary()),
                           ("links", pa.binary()), ("link_bytes", pa.int32())])
 
 
@@ -370,15 +372,16 @@ def _digest(head: pa.RecordBatch, counts: list[np.ndarray], best: list[np.ndarra
     size, raw = head.column("link_bytes")[0].as_py(), head.column("links")[0].as_py()
     links = np.frombuffer(pa.Codec("zstd").decompress(raw, size, asbytes=True) if size else b"",
                           np.uint16 if len(count) <= _SIDE else np.uint32)
-    n_links = head.column("n_links")[0].values.to_numpy()
+    docs = pa.ipc.read_record_batch(pa.py_buffer(head.column("docs")[0].as_py()), pa.schema(list(_DOC_COLUMNS.items())))
+    n_links = docs.column("n_links").to_numpy()
     ends = np.cumsum(n_links)
 
     def total(of: np.ndarray) -> np.ndarray:
         run = np.concatenate([[0], np.cumsum(of[links].astype(np.int64))])
         return run[ends] - run[ends - n_links]
 
-    cols = [head.column(c)[0].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(total(best_)), pa.array(total(count)), head.column("groups_sha256")[0].values],
+    *cols, digest = docs.columns
+    return pa.RecordBatch.from_arrays([*cols, pa.array(total(best_)), pa.array(total(count)), digest],
                                       names=[c.split()[0] for c in DIGEST_SCHEMA.split(", ")])
 
 
@@ -446,7 +449,7 @@ def alignment_digest(docs: DataFrame, a_path: str | None = None, b_path: str | N
     scratch = Scratch(ready(docs.sparkSession), "alignment")
     blocks, pairs = _block_table(docs, scratch, a_path, b_path)
     counts = scratch.table(_counted(pairs), "counts")
-    payload = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links", "link_bytes")
+    payload = ("docs", "links", "link_bytes")
     kinds = dict(blocks.dtypes)
     back = pairs.select("block", "pair").join(counts, "pair").select(
         "block", "pair", "count", "best", *(F.lit(None).cast(kinds[c]).alias(c) for c in payload))

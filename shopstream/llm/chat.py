@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ from shopstream.llm.common import Scratch, ready
 ROLES = ("system", "user", "assistant")
 MERGE, INSERT, RELABEL = 2, 3, 4
 CHUNK_TURNS = 4096
+#: Text of a chunk, unless one turn is longer.
+CHUNK_BYTES = 8 << 20
 
 START = 0  # states: nothing yet, then the last turn's role as 1 + its index
 LEGAL = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
@@ -148,12 +151,19 @@ def repair(codes: np.ndarray, entry: int, leave: int) -> list[tuple[int, tuple[i
 
 # ---------------------------------------------------------------- Spark steps
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, seq = TaskContext.get().partitionId(), 0
+def _number(batches: Iterator[pa.RecordBatch], chunk_turns: int) -> Iterator[pa.RecordBatch]:
+    """Rows with their partition, number and chunk: a chunk ends after ``chunk_turns`` turns or ``CHUNK_BYTES`` of text."""
+    part, seq, chunk, turns, size = TaskContext.get().partitionId(), 0, 0, 0, 0
     for batch in batches:
-        n = batch.num_rows
+        n, chunks = batch.num_rows, []
+        for length in pc.binary_length(batch.column("text")).to_pylist():
+            if turns and (turns >= chunk_turns or size + (length or 0) > CHUNK_BYTES):
+                chunk, turns, size = chunk + 1, 0, 0
+            chunks.append(chunk)
+            turns, size = turns + 1, size + (length or 0)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)),
-                                          pa.array(np.arange(seq, seq + n))], names=[*batch.schema.names, "part", "seq"])
+                                          pa.array(np.arange(seq, seq + n)), pa.array(chunks, pa.int64())],
+                                         names=[*batch.schema.names, "part", "seq", "chunk"])
         seq += n
 
 
@@ -261,8 +271,8 @@ def repair_conversations(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> Da
     # conv_id keeps its own order for numbers: the sort key is only a grouping.
     order = [F.col("conv_id"), F.col("turn"), F.col("role"), F.xxhash64("text")]
     numbered = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _number, "conv_id string, turn long, role string, text string, part int, seq long")
-    numbered = scratch.table(numbered.withColumn("chunk", F.floor(F.col("seq") / F.lit(chunk_turns)).cast("long")), "turns")
+        lambda b: _number(b, chunk_turns), "conv_id string, turn long, role string, text string, part int, seq long, chunk long")
+    numbered = scratch.table(numbered, "turns")
 
     edges = numbered.select("conv_id", "role", "part", "seq", "chunk").groupBy("part", "chunk") \
         .applyInPandas(_edges, _EDGE_SCHEMA)

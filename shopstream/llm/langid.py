@@ -11,6 +11,12 @@ language. Transitions between the languages of neighbouring words are learned.
 A chain is a line of text; a longer line is cut into chains of ``CHAIN_WORDS``.
 All words of a text are labelled, whatever its length.
 
+Whether a text is of any learned language at all can't be read from shares among those
+languages. ``keep_recognised`` asks for evidence instead: the share of the text's
+four-byte n-grams (with edge marks) that two training documents have. A text stays with
+at least half of the median share of the training documents, however many languages
+there are; short texts are drawn towards that median (``PRIOR`` n-grams).
+
 Training maximises the conditional likelihood on a bounded, documented sample:
 ``per_lang`` documents of each language by a hash of ``doc_id``, of which
 pieces of different languages are joined into code-switched chains. It
@@ -19,7 +25,8 @@ runs in one task; labelling maps over all documents and shuffles nothing.
 Defined cases: null text and text without a letter are ``und`` with score 0;
 null languages are not learned; without any language every text is ``und``;
 equal texts are labelled alike; ties go to the language first by code point;
-other columns are ignored (``keep_recognised`` keeps them).
+other columns are ignored (``keep_recognised`` keeps them); a text without any n-gram of
+four bytes (single letters) has no evidence against it and stays.
 """
 
 from __future__ import annotations
@@ -45,9 +52,10 @@ HELD_MOD, HELD = 3, 1
 UNKNOWN = "und"
 #: Text labelled at a time in a task.
 LABEL_BYTES = 1 << 20
-#: A document is rejected when no language reaches this share of its words; text that
-#: switches between two or three languages stays.
-MIN_SCORE = 0.3
+#: Bits of the set of n-grams that two training documents have.
+SEEN_BITS = 1 << 22
+#: N-grams of the median share that are added to each text's own, and the part of that share that is asked for.
+PRIOR, PART = 8, 0.5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -90,17 +98,58 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64(np.add.reduceat(mix64(_PLACE[place & 31, data[at]] + place.astype(np.uint64)), np.cumsum(size) - size))
 
 
-def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, bucket) of every feature: n-grams with edge marks and the word itself."""
-    n = len(start)
-    size = end - start + 2  # a mark on either side
+def _marked(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the words in a row with a mark (0) on either side, and for each its word and the bytes left in it."""
+    size = end - start + 2
     base = np.cumsum(size) - size
     marked = np.zeros(int(size.sum()) + 4, np.uint32)
     at = np.repeat(start - np.cumsum(size - 2) + size - 2, size - 2) + np.arange((size - 2).sum())
     to = np.repeat(base + 1 - np.cumsum(size - 2) + size - 2, size - 2) + np.arange((size - 2).sum())
     marked[to] = data[at]
-    word = np.repeat(np.arange(n), size)
-    left = np.repeat(base + size, size) - np.arange(len(word))  # bytes from here to the word's end
+    word = np.repeat(np.arange(len(start)), size)
+    return marked, word, np.repeat(base + size, size) - np.arange(len(word))
+
+
+def four_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, number below SEEN_BITS) of every four bytes in a row of marked words."""
+    marked, word, left = _marked(data, start, end)
+    at = np.flatnonzero(left >= 4)
+    x = marked[at] | marked[at + 1] << np.uint32(8) | marked[at + 2] << np.uint32(16) | marked[at + 3] << np.uint32(24)
+    return word[at], (mix64(x.astype(np.uint64)) >> np.uint64(42)).astype(np.int64)
+
+
+def seen_grams(texts: list[bytes]) -> np.ndarray:
+    """For each n-gram number whether two of the (lower-case) texts have it."""
+    count = np.zeros(SEEN_BITS, np.uint8)
+    for text in texts:
+        data, start, end, _, _ = split_words([text])
+        gram = np.unique(four_grams(data, start, end)[1])
+        count[gram] = np.minimum(count[gram], 1) + 1
+    return count >= 2
+
+
+def evidence(texts: list[bytes], seen: np.ndarray, median: float) -> np.ndarray:
+    """Share of each text's n-grams that are seen, with PRIOR n-grams of the median share added."""
+    data, start, end, doc, _ = split_words(texts)
+    known, total = np.zeros(len(texts)), np.zeros(len(texts))
+    if len(start):
+        _, first, which = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+        word, gram = four_grams(data, start[first], end[first])  # equal words are looked up once
+        n, k = np.bincount(word, minlength=len(first)), np.bincount(word, weights=seen[gram], minlength=len(first))
+        total = np.bincount(doc, weights=n[which.ravel()], minlength=len(texts))
+        known = np.bincount(doc, weights=k[which.ravel()], minlength=len(texts))
+    return (known + PRIOR * median) / (total + PRIOR)
+
+
+def median_share(texts: list[bytes], seen: np.ndarray) -> float:
+    share = [(len(g) and seen[g].mean()) for g in (four_grams(*split_words([t])[:3])[1] for t in texts) if len(g)]
+    return float(np.median(share)) if share else 0.0
+
+
+def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of every feature: n-grams with edge marks and the word itself."""
+    n = len(start)
+    marked, word, left = _marked(data, start, end)
     words, buckets = [np.arange(n)], [(lexicon >> np.uint64(48)).astype(np.int64)]
     h = marked[:len(word)] + np.uint32(0x51ED)
     for k in (2, 3, 4):
@@ -226,17 +275,20 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> dict | None:
         langs = np.array([names.index(x) for x in table["label"].to_pylist()])
         texts = [t for c in table["text"].chunks for t in lower(as_bytes(c))]
         w, tr, st = fit_crf(texts, langs, len(names))
+        seen = seen_grams(texts)
         return pa.RecordBatch.from_arrays([
-            pa.array([names]), *(pa.array([x.astype("<f4").tobytes()]) for x in (w, tr, st))],
-            names=["langs", "w", "tr", "st"])
+            pa.array([names]), *(pa.array([x.astype("<f4").tobytes()]) for x in (w, tr, st)),
+            pa.array([np.packbits(seen).tobytes()]), pa.array([median_share(texts, seen)])],
+            names=["langs", "w", "tr", "st", "seen", "median"])
 
-    got = fit_in_one_task(sample, fit, "langs array<string>, w binary, tr binary, st binary").collect()
+    got = fit_in_one_task(sample, fit, "langs array<string>, w binary, tr binary, st binary, seen binary, median double").collect()
     if not got:
         return None
     k = len(got[0].langs)
     f = lambda b, shape: np.frombuffer(b, "<f4").reshape(shape)
     return {"langs": list(got[0].langs), "w": f(got[0].w, (BUCKETS, k)), "tr": f(got[0].tr, (k, k)).astype(float),
-            "st": f(got[0].st, (k,)).astype(float)}
+            "st": f(got[0].st, (k,)).astype(float), "seen": np.unpackbits(np.frombuffer(got[0].seen, np.uint8)).astype(bool),
+            "median": got[0].median}
 
 
 def label_words(texts: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +312,7 @@ def _document_languages(texts: list[bytes], lettered: list[bool], model: dict |
 
 
 def _broadcast(spark, model):
-    return spark.sparkContext.broadcast(model)  # BUCKETS rows of a weight for each language
+    return spark.sparkContext.broadcast(model)  # BUCKETS rows of a weight for each language, SEEN_BITS truth values
 
 
 def detect(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -284,8 +336,8 @@ def detect(docs: DataFrame, model: dict | None) -> DataFrame:
     return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_recognised(docs: DataFrame, model: dict | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without those of no language (``und``) and those whose words don't agree on one.
+def keep_recognised(docs: DataFrame, model: dict | None, part_of_median: float = PART) -> DataFrame:
+    """``docs`` without those of no language (``und``) and those whose n-grams are not of the learned languages.
 
     Without a model (no language was given to learn from) only texts without a letter go.
     """
@@ -299,8 +351,8 @@ def keep_recognised(docs: DataFrame, model: dict | None, min_score: float = MIN_
             for part in slices(batch, "text", LABEL_BYTES):
                 ok = np.array(part.column(lettered).to_pylist(), bool)
                 if shared.value is not None:
-                    _, score = _document_languages(lower(as_bytes(part.column("text"))), ok.tolist(), shared.value)
-                    ok &= score >= min_score
+                    median = shared.value["median"]
+                    ok &= evidence(lower(as_bytes(part.column("text"))), shared.value["seen"], median) >= part_of_median * median
                 yield part.filter(pa.array(ok)).select(cols)
 
     rows = docs.select("*", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))

@@ -1,7 +1,9 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives are labelled rows of label 1; everything else is learned from
-unlabelled text of the corpus. Negative labels are never used. A linear
+the text of the corpus as it comes, whatever labels its rows have: the risk takes these
+rows as a draw from the whole corpus, and labelled ones belong to it, at any size and
+share of labels. Negative labels are never used. A linear
 model minimises the non-negative unbiased risk
 
     prior * R_p(+)  +  max(0, R_u(-) - prior * R_p(-))
@@ -157,11 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", n_positive
     positive = sample_by_class(known.where(F.col(label) == 1).select("doc_id", F.lit(1).alias("label")), docs, n_positive) \
         .select("doc_id", "text", F.lit(1).alias("label"))
     pool = training_rows(docs.select("doc_id", "text"), HELD_MOD, HELD)
-    marked = labels.where(F.col(label).isNotNull()).select("doc_id").distinct()
-    free = pool.join(marked, "doc_id", "left_anti")
-    if free.select("doc_id").isEmpty():
-        free = pool
-    ids = sample_rows(free.select("doc_id"), n_unlabelled)
+    ids = sample_rows(pool.select("doc_id"), n_unlabelled)
     if n_unlabelled <= BROADCAST_ROWS:
         ids = F.broadcast(ids)  # about n_unlabelled ids
     unlabelled = pool.join(ids, "doc_id", "left_semi").select("doc_id", "text", F.lit(0).alias("label"))

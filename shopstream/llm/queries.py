@@ -46,7 +46,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = ready(spark).read.parquet(f"{sf_dir}/conversations.parquet")
-    return chat.repair_conversations(turns).drop("segment")
+    return chat.repair_conversations(turns)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,77 @@ def test_quality_uses_no_negative_label(tables):
     assert np.allclose(a, b)
 
 
+def test_quality_does_not_hang_on_a_few_unlabelled_rows(tables):
+    """The labelled documents alone, and with one and ten unlabelled ones: no jump between them."""
+    docs, labels = tables
+    known = labels.where("quality IS NOT NULL").select("doc_id").distinct()
+    marked, free = docs.join(known, "doc_id", "left_semi"), docs.join(known, "doc_id", "left_anti").orderBy("doc_id")
+    auc = []
+    for n in (0, 1, 10):
+        some = marked.unionByName(free.limit(n)) if n else marked
+        weights, _ = quality.train(some, labels)
+        y, s, _ = _held(quality.score(marked, weights), labels, "quality")
+        auc.append(_auc(y, s))
+    assert max(auc) - min(auc) < 0.02 and min(auc) > 0.7
+
+
+def test_risk_gradient_against_differences():
+    """One step of the fit goes against the numeric gradient of the risk as it is written."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(1, 1, (30, 3)), rng.normal(0, 1, (50, 3))
+    loss = lambda z: np.logaddexp(0, -z).mean()
+    for prior in (0.2, 0.95):
+        seen = []
+
+        def watch(grad, size, steps):
+            for w in (np.zeros(size), rng.normal(0, 2, size), rng.normal(0, 2, size)):
+                rest = loss(-(u @ w)) - prior * loss(-(p @ w))
+                risk = (lambda v: prior * loss(p @ v) + loss(-(u @ v)) - prior * loss(-(p @ v))) if rest >= 0 \
+                    else (lambda v: -(loss(-(u @ v)) - prior * loss(-(p @ v))))
+                step = np.eye(size) * 1e-6
+                numeric = np.array([(risk(w + e) - risk(w - e)) / 2e-6 for e in step])
+                seen.append(rest >= 0)
+                assert np.allclose(grad(w) - quality._penalty(w), numeric, atol=1e-6)
+            return np.zeros(size)
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(quality, "_adam", watch)
+            quality.non_negative_risk_fit(p, u, prior)
+        assert True in seen
+
+
+def test_ftrl_against_a_plain_version():
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 40, 6)), float(rng.random() < 0.3), float(rng.integers(1, 3))) for _ in range(200)]
+    w, bias = toxicity.ftrl(rows)
+    plain_w, plain_bias = _plain_ftrl(rows)
+    assert np.allclose(w[:40], plain_w[:40]) and np.isclose(bias, plain_bias)
+
+
+def _plain_ftrl(rows):
+    """Per-coordinate FTRL-proximal, a number at a time."""
+    a, b, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - (l1 if zi > 0 else -l1)) / ((b + n.get(i, 0.0) ** 0.5) / a + l2)
+
+    for _ in range(toxicity.EPOCHS):
+        for buckets, y, weight_ in rows:
+            at = [*buckets.tolist(), "bias"]
+            w = {i: weight(i) for i in at}
+            p = 1 / (1 + np.exp(-sum(w.values())))
+            for i in at:
+                g = (p - y) * weight_
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / a
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return np.array([weight(i) for i in range(40)]), weight("bias")
+
+
 def test_prior_estimate_and_non_negative_risk():
     rng = np.random.default_rng(0)
     p = rng.normal(2, 1, (4000, 1))
@@ -166,6 +237,46 @@ def test_code_switched_words_are_labelled_one_by_one(tables):
     assert best[:third].count("de") >= third * 0.7 and best[third:2 * third].count("en") >= third * 0.7
 
 
+def _junk(rng):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 10))) for _ in range(rng.randrange(20, 120)))
+
+
+def _of_alphabet(rng, first, n, lengths):
+    return " ".join("".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(*lengths))) for _ in range(rng.randrange(20, 80)))
+
+
+@pytest.mark.parametrize("langs", [("de", "en"), ("de", "en", "es", "fr"), 8])
+def test_text_of_no_learned_language_goes(spark, make_docs, tables, langs):
+    """Random letters, Chinese and Russian go, clean and code-switched text stays, whatever the number of languages."""
+    import random
+
+    rng = random.Random(6)
+    docs, _ = tables
+    rows = [(r.doc_id, r.text, r.lang, None) for r in docs.collect()]
+    if langs == 8:  # four more: the same texts with their letters exchanged
+        turn = str.maketrans("aeioubcdfghlmnprst", "oaeuihgfdcbtsrpnml")
+        rows += [(r[0] + 10 ** 6, (r[1] or "").translate(turn), f"{r[2]}-x", None) for r in rows if r[2]]
+    else:
+        rows = [r for r in rows if r[2] in langs]
+    model = langid.train(make_docs(rows, extra=False))
+    assert len(model["langs"]) == (8 if langs == 8 else len(langs))
+    clean = {r[0] for r in rows if r[1] and len(r[1].split()) >= 20 and r[2]}
+    words = {}
+    for _, text, lang, _ in rows:
+        if lang and text and len(text.split()) >= 12:
+            words.setdefault(lang, []).append(text.split()[:12])
+    switched = [(2 * 10 ** 6 + i, " ".join(w for lang in rng.sample(sorted(words), 2) for w in rng.choice(words[lang]))) for i in range(60)]
+    bad = [(3 * 10 ** 6 + i, _junk(rng)) for i in range(100)]
+    bad += [(4 * 10 ** 6 + i, _of_alphabet(rng, 0x4E00, 3000, (4, 12))) for i in range(50)]
+    bad += [(5 * 10 ** 6 + i, _of_alphabet(rng, 0x430, 32, (2, 9))) for i in range(50)]
+    kept = {r.doc_id for r in langid.keep_recognised(make_docs([r[:2] for r in rows] + switched + bad), model).collect()}
+    assert len(clean & kept) >= 0.99 * len(clean)
+    assert len({i for i, _ in switched} & kept) >= 0.99 * len(switched)
+    for part in (bad[:100], bad[100:150], bad[150:]):
+        assert len({i for i, _ in part} - kept) >= 0.95 * len(part)
+
+
 def test_language_edge_rows(make_docs, tables):
     docs, _ = tables
     model = langid.train(docs)
