@@ -42,7 +42,7 @@ from shopstream.llm.common import Scratch, ready, slices, tidy
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 #: Text aligned at a time, a block.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Ids fit 16 bits; a pair is the id of A times this plus the id of B.
 _SIDE = 1 << 16
 #: Units kept by a task's cache, and units encoded in a row.
@@ -219,9 +219,9 @@ class Tokens:
         pair = self.whole([text])[0]
         size = np.array([len(u.encode()) + 1 for u in units])
         if pair is None:
-            if len(units) > 1:
-                for u in units:
-                    self._learn([u])
+            if len(units) > 1:  # some unit of them has other bytes: find it by halves
+                self._learn(units[:len(units) // 2])
+                self._learn(units[len(units) // 2:])
             else:
                 self.known[units[0]] = -1
             return

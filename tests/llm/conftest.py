@@ -6,12 +6,6 @@ SF = "/root/testdata/sf0.001"
 DOC_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(autouse=True)
-def _scratch(spark, tmp_path_factory):
-    """Operators write intermediate tables below spark.checkpoint.dir, or a local folder if it is unset."""
-    yield
-
-
 @pytest.fixture
 def make_docs(spark):
     """Documents from (doc_id, text[, lang, source]), with extra columns whose names operators use inside."""
