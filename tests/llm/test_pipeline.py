@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import statistics
 import zlib
@@ -79,3 +80,20 @@ def test_edge_tables(spark, make_docs):
 
 def test_every_operator_has_a_query():
     assert sorted({int(n[2:].split("_")[0]) for n in LLM_QUERIES}) == list(range(1, 14))
+
+
+def test_what_language_id_drops_is_in_no_token_file(spark, sample_docs, tmp_path, monkeypatch):
+    rng = random.Random(10)
+    junk = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(60)) for _ in range(20)]
+    bad = [*junk, "123 456 !?", "", None]
+    planted = spark.createDataFrame([(10 ** 6 + i, t, None, "src1", len(t or "")) for i, t in enumerate(bad)],
+                                    "doc_id long, text string, lang string, source string, n_chars long")
+    sample_docs.unionByName(planted.select(*[planted[c].cast(t) for c, t in sample_docs.dtypes])) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ids = lambda: {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    with_stage = ids()
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:])
+    without = ids()
+    assert not {i for i in with_stage if i >= 10 ** 6} and len(with_stage) > 50
+    assert len({i for i in without if i >= 10 ** 6}) >= 5  # as many as the mix takes of them
