@@ -71,7 +71,7 @@ def align(a: list[int], b: list[int]) -> Alignment:
     """Groups and links of two ascending lists of ends with the same last end."""
     i, j, n = 0, 0, len(a)
     starts, sizes = [], []  # one-to-one runs: first places and length
-    stop_a, stop_b, link_a, link_b = [], [], [], []  # irregular groups and their links
+    stop_a, stop_b, linked_a = [], [], []  # irregular groups, and the tokens of A of their links
     while i < n:
         p, q = a[i], b[j]
         if p == q:
@@ -90,16 +90,14 @@ def align(a: list[int], b: list[int]) -> Alignment:
             j += run
             continue
         while p != q:
-            link_a.append(i)
-            link_b.append(j)
+            linked_a.append(i)
             if p < q:
                 i += 1
                 p = a[i]
             else:
                 j += 1
                 q = b[j]
-        link_a.append(i)
-        link_b.append(j)
+        linked_a.append(i)
         i += 1
         j += 1
         stop_a.append(i)
@@ -109,12 +107,18 @@ def align(a: list[int], b: list[int]) -> Alignment:
     ahead = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     one_a, one_b = np.repeat(first[:, 0], size) + ahead, np.repeat(first[:, 1], size) + ahead
 
-    def both(x, y, u, v):
-        x, y = np.concatenate([np.array(x, np.int64), u]), np.concatenate([np.array(y, np.int64), v])
-        order = np.argsort(x + y, kind="stable")  # the sum of places ascends along links and along groups
-        return x[order], y[order]
-
-    return Alignment(*both(stop_a, stop_b, one_a + 1, one_b + 1), *both(link_a, link_b, one_a, one_b))
+    x, y = np.concatenate([np.array(stop_a, np.int64), one_a + 1]), np.concatenate([np.array(stop_b, np.int64), one_b + 1])
+    order = np.argsort(x + y, kind="stable")  # the sum of places ascends along groups
+    x, y = x[order], y[order]
+    # Each link of a group moves one side on: the sum of its places is one more than that of the link before.
+    begin_a, begin_b = np.append(0, x[:-1]), np.append(0, y[:-1])
+    begin = (begin_a + begin_b)[:len(x)]
+    n_links = x + y - begin - 1
+    ends = np.cumsum(n_links)
+    link_a = np.repeat(begin_a[:len(x)], n_links)
+    link_a[np.repeat(n_links > 1, n_links)] = linked_a
+    total = np.arange(len(link_a)) + np.repeat(begin - ends + n_links, n_links)
+    return Alignment(x, y, link_a, total - link_a)
 
 
 def group_text(a_ids: np.ndarray, b_ids: np.ndarray, al: Alignment) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +240,7 @@ class Tokens:
         if len(self.known) > self.limit:
             self.clear()
         every = list(itertools.chain.from_iterable(units))
-        new = list(dict.fromkeys(u for u in every if u not in self.known))
+        new = [u for u in dict.fromkeys(every) if u not in self.known]
         plain = [u for u in new if u and u[0] != " " and not u[-1].isspace()]
         for i in range(0, len(plain), _LEARN):
             self._learn(plain[i:i + _LEARN])
