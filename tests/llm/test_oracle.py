@@ -15,7 +15,7 @@ from shopstream.llm.oracle import LLM_ORACLE_SQL  # noqa: E402
 from shopstream.llm.queries import LLM_QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ROWS_OF = {"op3_passages": None, "op8_chat": None}
+ROWS_OF = {"op3_passages": None, "op8_chat": None, "op12_neighbours": 20, "op13_whitening": 4}
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE_SQL))
@@ -31,6 +31,15 @@ def test_a_row_for_each_document(spark, sample_docs, name):
         sorted(r.doc_id for r in sample_docs.select("doc_id").collect())
 
 
+@pytest.mark.parametrize("name", ["op12_neighbours", "op13_whitening"])
+def test_rows_for_each_vector(spark, name):
+    """Their rows are named by vec_id: the queries' neighbours, and the components of every vector."""
+    ids = [r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()]
+    key, want = ("query_id", [i for i in ids if i % 20 == 0]) if name == "op12_neighbours" else ("vec_id", ids)
+    got = LLM_QUERIES[name](spark, SF)
+    assert sorted(r[key] for r in got.select(key).collect()) == sorted(i for i in want for _ in range(ROWS_OF[name]))
+
+
 CONTRACT = {
     "op1_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op2_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
