@@ -4,12 +4,14 @@ Both tokenizers cut the same bytes; where a token of each ends at the same byte,
 of tokens ends. Tokens of A and B whose bytes overlap are linked.
 
 1. *Tokens.* Texts are cut before spaces at which neither tokenizer merges across; a unit
-   is encoded once in a task and looked up afterwards (equal to encoding the whole text,
-   tested). The byte ends of a text's tokens are the running sums of their lengths.
-2. *Alignment* (``align``) walks two arrays of ends. While the ends at the current index
-   shift agree, a run of one-to-one groups is jumped by exponential probing: twice as
-   many ends are compared at each step, then half as many. Where they disagree, the group is
-   resolved locally by moving whichever token ends first, and the shift changes.
+   is encoded and aligned once in a task and looked up afterwards (equal to encoding the whole
+   text, tested; both tokenizers end a token, so a group, at the end of a unit). The byte ends
+   of tokens are the running sums of their lengths. A full cache keeps the units used most.
+2. *Alignment* (``align``) walks two arrays of ends, those of all new units in a row. While
+   the ends at the current index shift agree, a run of one-to-one groups is jumped by
+   exponential probing: twice as many ends are compared at each step, then half as many. Where
+   they disagree, the group is resolved locally by moving whichever token ends first, and the
+   shift changes.
 3. *Counts.* A block (a few MB of text) is one row: its documents, its distinct
    linked id pairs, and its links as numbers of these pairs, packed. Only the distinct
    pairs of blocks are shuffled to be counted over the corpus, and come back to their
@@ -27,8 +29,7 @@ import functools
 import hashlib
 import itertools
 import os
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +46,11 @@ B_FILE = "piece_bpe_32k.model"
 BLOCK_BYTES = 1 << 20
 #: Ids fit 16 bits; a pair is the id of A times this plus the id of B.
 _SIDE = 1 << 16
-#: Units kept by a task's cache, and units encoded in a row.
+#: Units kept by a task's cache, their characters, units encoded in a row, and rows encoded at a time.
 UNITS = 250_000
-_LEARN = 16_384
+UNIT_CHARS = 8 << 20
+_LEARN = 256
+_ROWS = 64
 
 BLOCK_SCHEMA = "docs binary, pairs binary, pair_links binary, links binary, link_bytes int"
 DIGEST_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
@@ -150,8 +153,8 @@ def _digits() -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- tokens
 
-#: Where a cut before a space needs a closer look: after white space, before another space, at an end.
-_CLOSER = re.compile(r"\s | $|^ ")
+#: White space and a space: where a cut needs a closer look, as at two spaces and at an end.
+_CLOSER = [chr(i) + " " for i in range(0x3001) if chr(i).isspace() and i != 0x20]
 
 
 def units_of(text: str) -> list[str]:
@@ -161,7 +164,7 @@ def units_of(text: str) -> list[str]:
     space. The cut is made if something else than a space follows.
     """
     parts = text.split(" ")
-    if not _CLOSER.search(text):
+    if "" not in parts and not any(c in text for c in _CLOSER):
         return parts
     out = [parts[0]]
     open_ = not parts[0] or parts[0][-1].isspace()
@@ -177,8 +180,21 @@ def units_of(text: str) -> list[str]:
     return out
 
 
+class _Numbered(dict):
+    """Numbers of units from 0 in the order in which they were asked for; ``new`` are those asked for first since it was emptied."""
+
+    def __init__(self, units: Iterable[str] = ()):
+        super().__init__(zip(units, itertools.count()))
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        self.new.append(unit)
+        return number
+
+
 class Tokens:
-    """Token ids of texts by both tokenizers, and their lengths in bytes; units are encoded once."""
+    """Token ids of texts by both tokenizers, their lengths in bytes, and their links; units are encoded and aligned once."""
 
     def __init__(self, a_path: str, b_path: str, limit: int = UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -200,8 +216,28 @@ class Tokens:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}  # entry of each unit; -1: its bytes are not the text's
-        self.sides = _Side(), _Side()
+        self.known = _Numbered()
+        self.sides = _Ragged(np.uint16), _Ragged(np.uint16)
+        self.links = _Ragged(np.uint32)  # pairs of the links
+        self.text: list[bytes] = []  # of the groups
+        # Of each unit: its groups, whether its bytes are not the text's, and how often it was used of late.
+        self.n_groups, self.odd, self.uses = np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+        self.chars = 0
+
+    def _forget(self) -> None:
+        """Keep the units used most and at least twice, half of the limit at most; older uses count less at the next time."""
+        often = np.flatnonzero(self.uses >= 2)
+        keep = np.sort(often[np.argsort(-self.uses[often], kind="stable")[:self.limit // 2]])
+        units, text = list(self.known), self.text
+        units = [units[i] for i in keep]
+        chars = sum(map(len, units))
+        if chars > UNIT_CHARS // 2:
+            self.clear()
+            return
+        self.known, self.chars, self.text = _Numbered(units), chars, [text[i] for i in keep]
+        for of in (*self.sides, self.links):
+            of.keep(keep)
+        self.n_groups, self.odd, self.uses = self.n_groups[keep], self.odd[keep], self.uses[keep] // 2
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -210,76 +246,128 @@ class Tokens:
     def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of whole texts by A (with a space before) and B; None if their bytes are not the text's."""
         out = []
-        for text, x, y in zip(texts, self.a.encode_batch([" " + t for t in texts], add_special_tokens=False),
+        for text, x, y in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
                               self.b.encode(texts, num_threads=1)):
             want, x = (" " + text).encode(), x.ids
-            same = b"".join([self.a_bytes[i] for i in x]) == want and b"".join([self.b_bytes[i] for i in y]) == want
+            same = (b"".join(map(self.a_bytes.__getitem__, x)) == want
+                    and b"".join(map(self.b_bytes.__getitem__, y)) == want)
             out.append((np.array(x, np.uint16), np.array(y, np.uint16)) if same else None)
         return out
 
-    def _learn(self, units: list[str]) -> None:
-        """Many units in a row are one text, cut again where their bytes end."""
-        text = " ".join(units)
-        pair = self.whole([text])[0]
-        size = np.array([len(u.encode()) + 1 for u in units])
-        if pair is None:
-            if len(units) > 1:  # some unit of them has other bytes: find it by halves
-                self._learn(units[:len(units) // 2])
-                self._learn(units[len(units) // 2:])
+    def _encoded(self, parts: list[list[str]]) -> Iterator[tuple[list[str], tuple[np.ndarray, np.ndarray] | None]]:
+        """Many units in a row are one text; one with other bytes is halved until the units with other bytes are alone."""
+        for i in range(0, len(parts), _ROWS):
+            for units, pair in zip(parts[i:i + _ROWS], self.whole([" ".join(units) for units in parts[i:i + _ROWS]])):
+                if pair is None and len(units) > 1:
+                    yield from self._encoded([units[:len(units) // 2], units[len(units) // 2:]])
+                else:
+                    yield units, pair
+
+    def _learn(self, new: list[str], most: int) -> None:
+        """Encode and align units, ``most`` at most in a row; each is cut again where its bytes end."""
+        parts, open_ = [], False
+        for u in new:
+            plain = bool(u) and u[0] != " " and not u[-1].isspace()
+            if open_ and plain and len(parts[-1]) < most:
+                parts[-1].append(u)
             else:
-                self.known[units[0]] = -1
-            return
+                parts.append([u])
+            open_ = plain
+        size, odd, rows = [], [], []
+        for units, pair in self._encoded(parts):
+            size += [len(u.encode()) + 1 for u in units] if pair else [0]
+            odd += [pair is None] * len(units)
+            rows.append(pair or (_NO_IDS, _NO_IDS))
         ends = np.cumsum(size)
-        for side, ids, sizes in zip(self.sides, pair, (self.a_size, self.b_size)):
-            begin = side.add(ids, np.diff(np.searchsorted(np.cumsum(sizes[ids]), ends, side="right"), prepend=0))
-        self.known.update(zip(units, range(begin, begin + len(units))))
+        a_ids, b_ids = (np.concatenate(ids) for ids in zip(*rows))
+        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        stops = [np.searchsorted(e, ends, side="right") for e in (a_ends, b_ends)]
+        al = align(a_ends.tolist(), b_ends.tolist())
+        groups = np.searchsorted(al.a_stops, stops[0], side="right")
+        links = np.searchsorted(al.link_a, stops[0], side="left")
+        for of, values, stop in zip((*self.sides, self.links), (a_ids, b_ids, _codes(a_ids, b_ids, al)), (*stops, links)):
+            of.add(values, np.diff(stop, prepend=0))
+        raw, stop = group_text(a_ids, b_ids, al)
+        raw, stop = raw.tobytes(), np.append(0, stop)[groups].tolist()
+        self.text += [raw[p:q] for p, q in zip([0, *stop], stop)]
+        self.n_groups = np.append(self.n_groups, np.diff(groups, prepend=0))
+        self.odd, self.uses = np.append(self.odd, odd), np.append(self.uses, np.zeros(len(new), np.int64))
+        self.chars += sum(map(len, new))
+
+    def _numbers(self, units: list[str], most: int = _LEARN) -> np.ndarray:
+        numbers = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        if self.known.new:
+            self._learn(self.known.new, most)
+            self.known.new = []
+        return numbers
+
+    def _units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all texts' units in a row, and the units before the end of each text.
+
+        A text that has a unit with other bytes is a unit as a whole, and has no tokens if its own bytes are other ones.
+        """
+        if len(self.known) > self.limit or self.chars > UNIT_CHARS:
+            self._forget()
+        units = [units_of(t) for t in texts]
+        numbers = self._numbers(list(itertools.chain.from_iterable(units)))
+        stops = np.cumsum([len(u) for u in units], dtype=np.int64)
+        if self.odd[numbers].any():
+            rows = np.split(numbers, stops[:-1])
+            odd = [i for i, r in enumerate(rows) if self.odd[r].any()]
+            for i, n in zip(odd, self._numbers([texts[i] for i in odd], most=1).tolist()):
+                rows[i] = np.array([n])
+            numbers, stops = np.concatenate(rows), np.cumsum([len(r) for r in rows])
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        return numbers, stops
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For A and B: the ids of all texts in a row and how many each text has; as ``whole``, from units."""
-        units = [units_of(t) for t in texts]
-        if len(self.known) > self.limit:
-            self.clear()
-        every = list(itertools.chain.from_iterable(units))
-        new = [u for u in dict.fromkeys(every) if u not in self.known]
-        plain = [u for u in new if u and u[0] != " " and not u[-1].isspace()]
-        for i in range(0, len(plain), _LEARN):
-            self._learn(plain[i:i + _LEARN])
-        for u in new:
-            if u not in self.known:
-                self._learn([u])
-        entry = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
-        stops = np.cumsum([len(u) for u in units])
-        if (entry >= 0).all():
-            pairs = [side.get(entry) for side in self.sides]
-            return [p[0] for p in pairs], [np.diff(np.append(0, np.cumsum(p[1]))[stops], prepend=0) for p in pairs]
-        none, rows = np.zeros(0, np.uint16), []
-        for text, i, j in zip(texts, stops - [len(u) for u in units], stops):
-            at = entry[i:j]
-            rows.append([side.get(at)[0] for side in self.sides] if (at >= 0).all() else self.whole([text])[0] or (none, none))
-        return [np.concatenate([r[s] for r in rows]) for s in (0, 1)], [np.array([len(r[s]) for r in rows]) for s in (0, 1)]
-
-
-class _Side:
-    """Ids of all entries in a row, with the first and the number of each."""
-
-    def __init__(self):
-        self.parts, self.size = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
-        self.entries = 0
-
-    def add(self, ids: np.ndarray, size: np.ndarray) -> int:
-        self.parts.append(ids)
-        self.size.append(size)
-        self.entries += len(size)
-        return self.entries - len(size)
-
-    def get(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        numbers, stops = self._units(texts)
+        return [side.get(numbers) for side in self.sides], [_sums(side.size[numbers], stops) for side in self.sides]
+
+    def linked(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, list[str]]:
+        """Tokens of A, tokens of B, groups and links of each text; pairs of all links in a row; hashes of the groups."""
+        numbers, stops = self._units(texts)
+        counts = [_sums(x[numbers], stops) for x in (*(side.size for side in self.sides), self.n_groups, self.links.size)]
+        each, stop = [self.text[i] for i in numbers.tolist()], stops.tolist()
+        raw = [b"".join(each[p:q]) for p, q in zip([0, *stop], stop)]
+        return counts, self.links.get(numbers), [hashlib.sha256(memoryview(r)[:-1]).hexdigest() if r else "" for r in raw]
+
+
+def _codes(a_ids: np.ndarray, b_ids: np.ndarray, al: Alignment) -> np.ndarray:
+    """Pairs of all links as numbers."""
+    return a_ids[al.link_a].astype(np.uint32) * np.uint32(_SIDE) + b_ids[al.link_b]
+
+
+def _sums(values: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    return np.diff(np.append(0, np.cumsum(values))[stops], prepend=0)
+
+
+_NO_IDS = np.zeros(0, np.uint16)
+
+
+class _Ragged:
+    """Values of all units in a row, with the number of each unit's."""
+
+    def __init__(self, kind: type):
+        self.parts, self.size, self.first = [np.zeros(0, kind)], np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray, size: np.ndarray) -> None:
+        self.parts.append(values)
+        self.size = np.append(self.size, size)
+        self.first = np.cumsum(self.size) - self.size
+
+    def get(self, numbers: np.ndarray) -> np.ndarray:
         if len(self.parts) > 1:
-            self.parts, self.size = [np.concatenate(self.parts)], [np.concatenate(self.size)]
-            self.first = np.cumsum(self.size[0]) - self.size[0]
-        size = self.size[0][entry]
+            self.parts = [np.concatenate(self.parts)]
+        size = self.size[numbers]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        return self.parts[0][np.arange(total) + np.repeat(self.first[entry] - ends + size, size)], size
+        return self.parts[0][np.arange(total) + np.repeat(self.first[numbers] - ends + size, size)]
+
+    def keep(self, numbers: np.ndarray) -> None:
+        values, size = self.get(numbers), self.size[numbers]
+        self.parts, self.size, self.first = [values], size, np.cumsum(size) - size
 
 
 def _byte_level() -> dict[str, int]:
@@ -309,27 +397,28 @@ def _aligned(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]):
             yield part.column("doc_id").to_pylist(), n_a, n_b, a_ids, b_ids, al
 
 
-_NO_TEXT = (np.zeros(0, np.uint16),) * 2, (0, 0)
+_NO_TEXT = (_NO_IDS,) * 2, (0, 0)
 
 
 def _blocks(paths: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", 1)
-        for ids, n_a, n_b, a_ids, b_ids, al in _aligned(batches, paths):
-            ends = np.cumsum(n_a)
-            groups = np.searchsorted(al.a_stops, ends, side="right")  # groups up to the end of each document
-            links = np.searchsorted(al.link_a, ends, side="left")
-            raw, stop = group_text(a_ids, b_ids, al)
-            stop, raw = np.append(0, stop)[np.append(0, groups)].tolist(), memoryview(raw)
-            digest = [hashlib.sha256(raw[p:q - 1]).hexdigest() if q > p else "" for p, q in zip(stop, stop[1:])]
-            code, distinct = pd.factorize(a_ids[al.link_a].astype(np.uint32) * np.uint32(_SIDE) + b_ids[al.link_b])
+        codec, tokens = pa.Codec("zstd", 1), _tokens(*paths)
+        for part in (p for batch in batches for p in slices(batch, "text", BLOCK_BYTES)):
+            texts = part.column("text").to_pylist()
+            full = [i for i, t in enumerate(texts) if t]
+            counts, digest = np.zeros((4, len(texts)), np.int64), [""] * len(texts)
+            pairs = np.zeros(0, np.uint32)
+            if full:
+                counts[:, full], pairs, hashes = tokens.linked([texts[i] for i in full])
+                for i, h in zip(full, hashes):
+                    digest[i] = h
+            code, distinct = pd.factorize(pairs)
             order = np.argsort(distinct)
             place = np.empty(len(order), np.uint16 if len(order) <= _SIDE else np.uint32)
             place[order] = np.arange(len(order))
             packed = place[code].tobytes()
             docs = pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(n_a), pa.array(n_b), pa.array(np.diff(groups, prepend=0)),
-                pa.array(np.diff(links, prepend=0)), pa.array(digest, pa.string())], names=list(_DOC_COLUMNS))
+                part.column("doc_id"), *map(pa.array, counts), pa.array(digest, pa.string())], names=list(_DOC_COLUMNS))
             row = [docs.serialize().to_pybytes(), distinct[order].astype("<u4").tobytes(),
                    np.bincount(code, minlength=len(order))[order].astype("<u4").tobytes(),
                    codec.compress(packed, asbytes=True) if packed else b"", len(packed)]

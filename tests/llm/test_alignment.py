@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopstream.llm import alignment as al
@@ -110,6 +111,47 @@ def test_digests_of_many_batches_and_a_very_long_text(make_docs, tokens, sample_
     assert all(tuple(got[i])[1:5] == short[i][1:5] and got[i].groups_sha256 == short[i][7] for i in short)
 
 
+def test_a_unit_is_aligned_once(monkeypatch):
+    aligned, plain = [], al.align
+    monkeypatch.setattr(al, "align", lambda a, b: aligned.append(len(a)) or plain(a, b))
+    al._tokens.cache_clear()
+    texts = ["longer texts disagreeably " * 2_000] * 3
+    batch = pa.record_batch([pa.array(range(3), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    rows = list(al._blocks(al._paths(None, None))(iter([batch])))
+    assert len(rows) == 1 and sum(aligned) < 100
+
+
+def test_a_full_cache_keeps_the_units_used_most(monkeypatch):
+    tokens, learned = al.Tokens(*al._paths(None, None), limit=40), []
+    plain = tokens.whole
+    monkeypatch.setattr(tokens, "whole", lambda texts: learned.extend(texts) or plain(texts))
+    rows = [(i, f"often seen here {i} {i * 7919}x {t}") for i, t in enumerate(_random_texts(200, seed=3))] + [(200, "short")]
+    got, links = [], []
+    for i, text in rows:
+        (n_a, n_b, n_groups, n_links), pairs, digest = tokens.linked([text])
+        assert len(tokens.text) == len(tokens.known) == len(tokens.uses) and int(n_links[0]) == len(pairs)
+        got.append((i, *(int(n[0]) for n in (n_a, n_b, n_groups, n_links)), digest[0]))
+        links.append(Counter(pairs.tolist()))
+    want = _plain_digests(tokens, rows)
+    assert got == [(*r[:5], r[7]) for r in want]
+    assert sum(sum(c.values()) for c in links) == sum(r[4] for r in want)
+    count = sum(links, Counter())
+    assert [sum(count[p] * n for p, n in c.items()) for c in links] == [r[6] for r in want]
+    learned_before = learned[:len(learned) - len(rows)]  # without the plain version's own calls
+    assert sum("often" in t.split() for t in learned_before if "\u2581" not in t) <= 2
+
+
+def test_units_of_many_characters_do_not_fill_the_cache(tokens, monkeypatch):
+    monkeypatch.setattr(al, "UNIT_CHARS", 1000)
+    own = al.Tokens(*al._paths(None, None))
+    for i in range(20):
+        text = f"{i}" * 600
+        (a, b), _ = own.encode([text])
+        want = tokens.whole([text])[0]
+        assert (a.tolist(), b.tolist()) == (want[0].tolist(), want[1].tolist())
+        assert len(own.known) <= 2
+
+
 def test_no_rows(make_docs):
     assert al.alignment_digest(make_docs([])).collect() == []
     assert [tuple(r) for r in al.alignment_digest(make_docs([(1, None)])).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")]
