@@ -41,7 +41,11 @@ from shopstream.llm.words import word_spans
 
 PAGE_IDS = 1 << 16
 #: Text encoded at a time in a task.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 1 << 20
+#: New words that are taken apart at a time, and their bytes in one call of the tokenizer, which keeps
+#: some hundred bytes for each id of a call; a longer word is taken whole.
+LEARN_WORDS = 1 << 13
+LEARN_BYTES = 1 << 14
 BLOCK_WORDS = 128
 END_ID = 2
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -154,7 +158,7 @@ class WordCache:
     This tokenizer collapses white space and splits at it before its merges, so a
     text's ids are its words' ids in a row (tests compare with whole-text encoding).
     A slice's words are told apart by a 64-bit hash; distinct words are encoded
-    once and kept; the cache starts anew when it holds ``limit`` words.
+    once and kept; the cache starts anew when it holds ``limit`` words, or 16 times as many ids.
     """
 
     def __init__(self, path: str, limit: int = 500_000):
@@ -170,9 +174,9 @@ class WordCache:
 
     def clear(self) -> None:
         self.known = word_spans(_END)[3]  # hashes in order
-        self.rank = np.zeros(1, np.int64)  # entry of each
+        self.rank = np.zeros(1, np.int32)  # entry of each
         self.pieces: dict[bytes, int] = {}
-        self.first, self.length, self.flat = _Growing(np.int64), _Growing(np.int64), _Growing(np.int32)
+        self.first, self.length, self.flat = _Growing(np.int32), _Growing(np.int32), _Growing(np.int32)
         self._append(np.zeros(1, np.int32), np.ones(1, np.int64))
 
     def _append(self, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -183,10 +187,11 @@ class WordCache:
         return np.arange(entry, entry + len(length))
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, length = self.first.data[at], self.length.data[at]
+        first, length = self.first.data[at].astype(np.int64), self.length.data[at].astype(np.int64)
         ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat.data[np.arange(total) + np.repeat(first - ends + length, length)], length
+        where = np.repeat(first - ends + length, length)
+        where += np.arange(len(where))
+        return self.flat.data[where], length
 
     def _merge_pieces(self, pieces: list[bytes]) -> None:
         """Runs of Latin letters or of marks are single pieces: only the merges are left to do."""
@@ -200,8 +205,11 @@ class WordCache:
     def _encode_words(self, words: list[bytes]) -> np.ndarray:
         """Any words, whole, many in a call: a special token ends the text before it."""
         flat, length = [], []
-        for i in range(0, len(words), 2000):
-            part = words[i:i + 2000]
+        ends, i = np.cumsum([len(w) for w in words]), 0
+        while i < len(words):
+            to = max(int(np.searchsorted(ends, (ends[i - 1] if i else 0) + LEARN_BYTES, side="right")), i + 1)
+            part = words[i:to]
+            i = to
             if any(b"<|" in w for w in part):
                 for w in part:
                     flat.append(np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.int32))
@@ -244,7 +252,7 @@ class WordCache:
         second[(data[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)] += 0x20  # A-grave to Thorn
         _, start, end, h = word_spans(data)
         which, distinct = pd.factorize(h)
-        if len(self.known) + len(distinct) > self.limit:
+        if len(self.known) + len(distinct) > self.limit or self.flat.size > 16 * self.limit:
             self.clear()
         at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
         entry, lack = self.rank[at], np.flatnonzero(self.known[at] != distinct)
@@ -253,7 +261,9 @@ class WordCache:
             some[which] = np.arange(len(which))  # a place of each word
             raw = data.tobytes()
             a, b = start[some[lack]].tolist(), end[some[lack]].tolist()
-            entry[lack] = self._learn([raw[x:y] for x, y in zip(a, b)])
+            for i in range(0, len(lack), LEARN_WORDS):
+                to = slice(i, i + LEARN_WORDS)
+                entry[lack[to]] = self._learn([raw[x:y] for x, y in zip(a[to], b[to])])
             order = lack[np.argsort(distinct[lack])]
             to = np.searchsorted(self.known, distinct[order])
             self.known = np.insert(self.known, to, distinct[order])
@@ -273,7 +283,9 @@ class _Growing:
     def extend(self, values: np.ndarray) -> None:
         need = self.size + len(values)
         if need > len(self.data):
-            self.data = np.concatenate([self.data, np.zeros(need, self.data.dtype)])
+            more = np.empty(len(self.data) + need, self.data.dtype)  # memory that is not written is not taken
+            more[:self.size] = self.data[:self.size]
+            self.data = more
         self.data[self.size:need] = values
         self.size = need
 

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shopstream.llm import token_files as tf
+from shopstream.llm import words
 
 
 @settings(max_examples=60, deadline=None)
@@ -48,6 +52,55 @@ def test_word_cache_equals_whole_text_encoding(sample_texts):
             at += n
 
 
+def _peak(step) -> int:
+    """Most bytes that ``step`` holds at a time."""
+    tracemalloc.start()
+    try:
+        step()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_hashing_a_slice_holds_little_beside_its_words():
+    data = b"a word of some length " * 100_000
+    words._POWERS.clear()
+    assert _peak(lambda: words.word_spans(data)) < 14 * len(data)
+
+
+def test_hashes_do_not_depend_on_the_block(monkeypatch):
+    texts = [b"", b" ", b"x" * 700, b"one two  three\n" + b"y" * 90 + b" end", b"z " * 500]
+    want = words.word_hashes(texts)
+    monkeypatch.setattr(words, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(words, "_POWERS", {})
+    for got, expected in zip(words.word_hashes(texts), want):
+        assert got.tolist() == expected.tolist()
+    spans = [words.word_spans(w)[3][0] for t in texts for w in t.split()]
+    assert spans == want[0].tolist()
+
+
+def test_a_task_encodes_a_batch_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = [" ".join(f"{chr(97 + a)}{chr(97 + b)}o{chr(97 + c)}" for a, b, c in rng.integers(0, 26, (2000, 3))) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": text})
+    monkeypatch.setattr(tf.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    words._POWERS.clear()
+    tf.word_cache.cache_clear()
+    run = tf._pages(tf.default_tokenizer(), tf.END_ID, tf.PAGE_IDS)
+    peak = _peak(lambda: [None for _ in run(iter([batch]))])
+    assert peak < 60 << 20  # 5 MB of text
+
+
+def test_long_and_many_new_words_equal_whole_text_encoding(monkeypatch):
+    monkeypatch.setattr(tf, "LEARN_WORDS", 7)
+    monkeypatch.setattr(tf, "LEARN_BYTES", 20)
+    cache = tf.WordCache(tf.default_tokenizer(), limit=300)
+    text = " ".join([*TRICKY, "\u4e2d\u6587" * 40, *(f"{i} w{i} <|x{i}" for i in range(200))])
+    for _ in range(2):
+        ids, counts = cache.encode([text.encode()], 2)
+        assert ids.tolist() == cache.tokenizer.encode(text, add_special_tokens=False).ids + [2] and counts.tolist() == [len(ids)]
+
+
 def _expected(rows):
     from tokenizers import Tokenizer
 
