@@ -25,9 +25,9 @@ an empty table gives no pages; other columns are ignored.
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import Scratch, as_bytes, ready, slices, tidy
-from shopstream.llm.words import word_spans
+from shopstream.llm.words import span_hashes, word_spans
 
 PAGE_IDS = 1 << 16
 #: Text encoded at a time in a task.
 ENCODE_BYTES = 1 << 20
-#: New words that are taken apart at a time, and their bytes in one call of the tokenizer, which keeps
-#: some hundred bytes for each id of a call; a longer word is taken whole.
+#: New pieces that are merged at a time, and bytes of other new words in one call of the tokenizer, which
+#: keeps some hundred bytes for each id of a call; a longer word is taken whole.
 LEARN_WORDS = 1 << 13
 LEARN_BYTES = 1 << 14
 BLOCK_WORDS = 128
@@ -87,14 +87,11 @@ def encode_ids(ids: np.ndarray) -> np.ndarray:
             step = min(have, count - have)
             top = np.maximum(top[:len(top) - step], top[step:])
             have += step
-        np.putmask(selector, top[:n] <= WIDTHS[s], s)
-    step = np.append(COUNTS, [0, 1])[selector]
-    ahead = (np.arange(n) + step).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = ahead[i]
-    starts = np.array(starts)
+        fits = top[:n] <= WIDTHS[s]
+        if not fits.any():
+            break  # nor do more ids of fewer bits
+        np.putmask(selector, fits, s)
+    starts = _chain(np.append(COUNTS, [0, 1])[selector])
     chosen = selector[starts]
     place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(chosen == ESCAPE)[:-1]])
     words = np.zeros(len(starts) + int((chosen == ESCAPE).sum()), np.uint64)
@@ -104,12 +101,32 @@ def encode_ids(ids: np.ndarray) -> np.ndarray:
         if s == ESCAPE:
             words[place[at] + 1] = padded[starts[at]]
             continue
-        shift = np.uint64(4) + np.arange(COUNTS[s], dtype=np.uint64) * np.uint64(WIDTHS[s])
-        values = padded[starts[at][:, None] + np.arange(COUNTS[s])]
-        words[place[at]] |= np.bitwise_or.reduce(values << shift, axis=1)
+        first, word = starts[at], np.full(np.count_nonzero(at), s, np.uint64)
+        for k in range(int(COUNTS[s])):
+            word |= padded[first + k] << np.uint64(4 + k * int(WIDTHS[s]))
+        words[place[at]] = word
     return words
 
 
+def _chain(step: np.ndarray) -> np.ndarray:
+    """Places 0, 0 + step[0], and so on, before the end: every 16th one by one, those between for all at once."""
+    n = len(step)
+    ahead = np.append(np.minimum(np.arange(n) + step, n), n)
+    far = ahead
+    for _ in range(4):
+        far = far[far]
+    marks, i = [], 0
+    while i < n:
+        marks.append(i)
+        i = int(far[i])
+    out = np.empty((len(marks), 16), np.int64)
+    out[:, 0] = marks
+    for k in range(1, 16):
+        out[:, k] = ahead[out[:, k - 1]]
+    out = out.ravel()
+    return out[out < n]
+
+
 def _layout(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Selector of each word and ids before it; a raw word has selector -1 and no ids."""
     selector = (words & np.uint64(15)).astype(np.int8)
@@ -144,9 +161,31 @@ def decode_ids(words: np.ndarray, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- tokenizing
 
-#: Lower-case Latin letters, then perhaps ASCII marks; no apostrophe, which starts contractions, and
-#: nothing that could be part of a special token.
-_LETTERS_THEN_MARKS = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[-`{-~]*)\Z")
+#: ASCII marks without the apostrophe, which starts contractions, and what could be part of a special token.
+_MARK = np.zeros(256, bool)
+_MARK[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~")] = True
+_A_TO_Z = np.zeros(256, bool)
+_A_TO_Z[ord("a"):ord("z") + 1] = True
+#: After 0xC3, a lower-case Latin letter.
+_AFTER_C3 = np.zeros(256, bool)
+_AFTER_C3[0xA0:0xC0] = True
+_AFTER_C3[0xB7] = False
+
+
+def _letters_then_marks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word is lower-case Latin letters, then perhaps ASCII marks; if so, where its letters end.
+
+    The words stand in ``data`` one after the other, with nothing between.
+    """
+    letter, mark = _A_TO_Z[data], _MARK[data]
+    two = (data[:-1] == 0xC3) & _AFTER_C3[data[1:]]
+    letter[:-1] |= two
+    letter[1:] |= two
+    wrong = ~(letter | mark)
+    wrong[1:] |= letter[1:] & mark[:-1]
+    wrong[start] = ~letter[start]
+    return ~np.logical_or.reduceat(wrong, start), start + np.add.reduceat(letter, start, dtype=np.int64)
+
 
 #: A special token of the vocabulary.
 _APART = b"<|startoftext|>"
@@ -158,10 +197,11 @@ class WordCache:
     This tokenizer collapses white space and splits at it before its merges, so a
     text's ids are its words' ids in a row (tests compare with whole-text encoding).
     A slice's words are told apart by a 64-bit hash; distinct words are encoded
-    once and kept; the cache starts anew when it holds ``limit`` words, or 16 times as many ids.
+    once and kept, and so are the letters and the marks of words of both: the cache
+    starts anew when it holds ``limit`` words and such pieces, or 8 times as many ids.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -175,7 +215,6 @@ class WordCache:
     def clear(self) -> None:
         self.known = word_spans(_END)[3]  # hashes in order
         self.rank = np.zeros(1, np.int32)  # entry of each
-        self.pieces: dict[bytes, int] = {}
         self.first, self.length, self.flat = _Growing(np.int32), _Growing(np.int32), _Growing(np.int32)
         self._append(np.zeros(1, np.int32), np.ones(1, np.int64))
 
@@ -193,14 +232,29 @@ class WordCache:
         where += np.arange(len(where))
         return self.flat.data[where], length
 
-    def _merge_pieces(self, pieces: list[bytes]) -> None:
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash; -1: not known."""
+        order = np.argsort(h)  # a search in order is the faster one
+        at = np.empty(len(h), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.known, h[order]), len(self.known) - 1)
+        return np.where(self.known[at] == h, self.rank[at], -1)
+
+    def _add(self, h: np.ndarray, entry: np.ndarray) -> None:
+        order = np.argsort(h)
+        to = np.searchsorted(self.known, h[order])
+        self.known = np.insert(self.known, to, h[order])
+        self.rank = np.insert(self.rank, to, entry[order])
+
+    def _merge_pieces(self, data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Runs of Latin letters or of marks are single pieces: only the merges are left to do."""
         tokenize, flat, length = self.tokenizer.model.tokenize, [], []
-        for p in pieces:
-            ids = [t.id for t in tokenize(p.decode().translate(self.spelling))]
-            flat += ids
-            length.append(len(ids))
-        self.pieces.update(zip(pieces, self._append(np.array(flat, np.int32), np.array(length, np.int64)).tolist()))
+        for i in range(0, len(start), LEARN_WORDS):
+            to = slice(i, i + LEARN_WORDS)
+            part = b" ".join([data[a:b] for a, b in zip(start[to].tolist(), end[to].tolist())])
+            ids = [[t.id for t in tokenize(p)] for p in part.decode().translate(self.spelling).split(" ")]
+            flat.append(np.array(list(chain.from_iterable(ids)), np.int32))
+            length.append(np.array(list(map(len, ids)), np.int64))
+        return self._append(np.concatenate(flat), np.concatenate(length))
 
     def _encode_words(self, words: list[bytes]) -> np.ndarray:
         """Any words, whole, many in a call: a special token ends the text before it."""
@@ -221,28 +275,27 @@ class WordCache:
             length.append(np.diff(np.flatnonzero(ids == self.apart), prepend=-1) - 1)
         return self._append(np.concatenate(flat), np.concatenate(length).astype(np.int64))
 
-    def _learn(self, words: list[bytes]) -> np.ndarray:
-        """Entries of new words."""
-        entry = np.empty(len(words), np.int64)
-        split = list(map(_LETTERS_THEN_MARKS.match, words))
-        plain = [i for i, m in enumerate(split) if m]
-        if plain:
-            letters, marks = zip(*[split[i].groups() for i in plain])
-            new = {*letters, *marks}.difference(self.pieces, (b"",))
-            if new:
-                self._merge_pieces(list(new))
-            two = np.empty((len(plain), 2), np.int64)
-            two[:, 0] = list(map(self.pieces.__getitem__, letters))
-            two[:, 1] = [self.pieces[m] if m else -1 for m in marks]
-            two = two.ravel()
-            ids, length = self._gather(two[two >= 0])
-            size = np.zeros(len(two), np.int64)
-            size[two >= 0] = length
-            entry[plain] = self._append(ids, size.reshape(-1, 2).sum(axis=1))
-        other = [i for i, m in enumerate(split) if not m]
-        if other:
-            entry[other] = self._encode_words([words[i] for i in other])
-        return entry
+    def _learn(self, data: np.ndarray, length: np.ndarray, h: np.ndarray) -> None:
+        """Take in new words, which stand in ``data`` one after the other."""
+        end = np.cumsum(length)
+        start = end - length
+        plain, mid = _letters_then_marks(data, start, end)
+        both, raw = plain & (mid < end), data.tobytes()
+        if not plain.all():
+            words = [raw[a:b] for a, b in zip(start[~plain].tolist(), end[~plain].tolist())]
+            self._add(h[~plain], self._encode_words(words))
+        # Letters, marks, letters, marks ...
+        first, last = (np.column_stack(x).ravel() for x in ((start[both], mid[both]), (mid[both], end[both])))
+        halves, alone = span_hashes(data, first, last), plain & (mid == end)
+        new, at = np.unique(np.concatenate([h[alone], halves]), return_index=True)
+        lack = self._find(new) < 0
+        if lack.any():
+            new, at = new[lack], at[lack]
+            first, last = np.concatenate([start[alone], first])[at], np.concatenate([end[alone], last])[at]
+            self._add(new, self._merge_pieces(raw, first, last))
+        if both.any():
+            ids, length = self._gather(self._find(halves))
+            self._add(h[both], self._append(ids, length.reshape(-1, 2).sum(axis=1)))
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in a row, each text followed by ``end_id``, and the number of ids of each."""
@@ -252,22 +305,19 @@ class WordCache:
         second[(data[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)] += 0x20  # A-grave to Thorn
         _, start, end, h = word_spans(data)
         which, distinct = pd.factorize(h)
-        if len(self.known) + len(distinct) > self.limit or self.flat.size > 16 * self.limit:
+        if len(self.known) + len(distinct) > self.limit or self.flat.size > 8 * self.limit:
             self.clear()
-        at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
-        entry, lack = self.rank[at], np.flatnonzero(self.known[at] != distinct)
+        entry = self._find(distinct)
+        lack = np.flatnonzero(entry < 0)
         if len(lack):
             some = np.zeros(len(distinct), np.int64)
             some[which] = np.arange(len(which))  # a place of each word
-            raw = data.tobytes()
-            a, b = start[some[lack]].tolist(), end[some[lack]].tolist()
-            for i in range(0, len(lack), LEARN_WORDS):
-                to = slice(i, i + LEARN_WORDS)
-                entry[lack[to]] = self._learn([raw[x:y] for x, y in zip(a[to], b[to])])
-            order = lack[np.argsort(distinct[lack])]
-            to = np.searchsorted(self.known, distinct[order])
-            self.known = np.insert(self.known, to, distinct[order])
-            self.rank = np.insert(self.rank, to, entry[order])
+            at = some[lack]
+            length = end[at] - start[at]
+            where = np.repeat(end[at] - np.cumsum(length), length)
+            where += np.arange(len(where))
+            self._learn(data[where], length, distinct[lack])
+            entry[lack] = self._find(distinct[lack])
         ids, length = self._gather(entry[which])
         stops = np.cumsum(length)[data[start] == 0xFF]
         ids[stops - 1] = end_id

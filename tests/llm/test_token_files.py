@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import re
 import tracemalloc
 import zlib
 from types import SimpleNamespace
@@ -21,6 +23,28 @@ def test_coding_round_trip(ids):
     assert tf.decode_ids(words, len(ids)).tolist() == ids
 
 
+def _greedy(ids):
+    """The coding, an id at a time."""
+    words, i = [], 0
+    while i < len(ids):
+        for s, (width, count) in enumerate(zip(tf.WIDTHS.tolist(), tf.COUNTS.tolist())):
+            part = ids[i:i + count]
+            if max(part) < 1 << width:
+                words.append(s | sum(x << (4 + k * width) for k, x in enumerate(part)))
+                i += count
+                break
+        else:
+            words += [tf.ESCAPE, ids[i]]
+            i += 1
+    return words
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 300), st.integers(0, 60_000), st.integers(0, 2 ** 64 - 1)), max_size=400))
+def test_coding_takes_the_most_ids_for_each_word(ids):
+    assert tf.encode_ids(np.array(ids, np.uint64)).tolist() == _greedy(ids)
+
+
 def test_blocks_can_be_decoded_alone():
     ids = np.random.default_rng(1).integers(0, 5000, 20_000).astype(np.uint64)
     words = tf.encode_ids(ids)
@@ -52,6 +76,42 @@ def test_word_cache_equals_whole_text_encoding(sample_texts):
             at += n
 
 
+def test_what_letters_and_marks_are():
+    like = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+([!-&(-/:;=?@\[-`{-~]*)\Z")
+    texts = [chr(c) for c in range(33, 0x250)] + ["\u4e2d", "\U0001f600", "\u20ac"]
+    words = [(a + b + c).encode() for a in ("", "x", "\xe9", ",") for b in texts for c in ("", "y", "\xe0", "!!", "'")]
+    length = np.array(list(map(len, words)))
+    end = np.cumsum(length)
+    plain, mid = tf._letters_then_marks(np.frombuffer(b"".join(words), np.uint8), end - length, end)
+    want = [like.match(w) for w in words]
+    assert plain.tolist() == [m is not None for m in want]
+    assert [int(e - m) for e, m, p in zip(end, mid, plain) if p] == [len(m[1]) for m in want if m]
+
+
+class _Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.model, self._tokenizer, self.calls = self, tokenizer, 0
+
+    def tokenize(self, word):
+        self.calls += 1
+        return self._tokenizer.model.tokenize(word)
+
+
+def test_half_a_million_words_are_merged_once():
+    cache = tf.WordCache(tf.default_tokenizer())
+    cache.tokenizer = counted = _Counted(cache.tokenizer)
+    words = ["".join(w) for w in itertools.product("abcdefghijkl", "aeiou", "klmnoprst", "aeiou", "bcdfghklmn", "aeiouxyzst")][:260_000]
+    texts = [" ".join(w + mark for w in words[i::20]).encode() for mark in ("", ",") for i in range(20)]
+    first = [cache.encode([t], 2) for t in texts]
+    assert counted.calls == len(words) + 1  # and the comma
+    again = [cache.encode([t], 2) for t in texts]
+    assert counted.calls == len(words) + 1
+    for (a, n), (b, m) in zip(first, again):
+        assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
+
+
 def _peak(step) -> int:
     """Most bytes that ``step`` holds at a time."""
     tracemalloc.start()
