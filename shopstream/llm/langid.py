@@ -11,8 +11,9 @@ language. Transitions between the languages of neighbouring words are learned.
 A chain is a line of text; a longer line is cut into chains of ``CHAIN_WORDS``.
 All words of a text are labelled, whatever its length.
 
-Whether a text is of any learned language at all can't be read from shares among those
-languages. ``keep_recognised`` asks for evidence instead: the share of the text's
+``keep_recognised`` names the language of each text in ``lang`` and drops texts of none. Whether a
+text is of any learned language at all can't be read from shares among those
+languages, so it asks for evidence: the share of the text's
 four-byte n-grams (with edge marks) that two training documents have. A text stays with
 at least half of the median share of the training documents, however many languages
 there are; short texts are drawn towards that median (``PRIOR`` n-grams).
@@ -25,7 +26,7 @@ runs in one task; labelling maps over all documents and shuffles nothing.
 Defined cases: null text and text without a letter are ``und`` with score 0;
 null languages are not learned; without any language every text is ``und``;
 equal texts are labelled alike; ties go to the language first by code point;
-other columns are ignored (``keep_recognised`` keeps them); a text without any n-gram of
+other columns are ignored (``keep_recognised`` keeps them, and ``lang`` gets the language found); a text without any n-gram of
 four bytes (single letters) has no evidence against it and stays.
 """
 
@@ -337,23 +338,32 @@ def detect(docs: DataFrame, model: dict | None) -> DataFrame:
 
 
 def keep_recognised(docs: DataFrame, model: dict | None, part_of_median: float = PART) -> DataFrame:
-    """``docs`` without those of no language (``und``) and those whose n-grams are not of the learned languages.
+    """``docs`` with the language of each text in ``lang``, as ``detect`` has it, without those of no language (``und``)
+    and those whose n-grams are not of the learned languages.
 
-    Without a model (no language was given to learn from) only texts without a letter go.
+    Without a model (no language was given to learn from) only texts without a letter go, and no language is named.
     """
     spark = ready(docs.sparkSession)
     shared = _broadcast(spark, model)
     cols = docs.columns
     lettered = _free_name(cols, "lettered")
+    named = next((i for i, c in enumerate(cols) if c.lower() == "lang"), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", LABEL_BYTES):
                 ok = np.array(part.column(lettered).to_pylist(), bool)
-                if shared.value is not None:
-                    median = shared.value["median"]
-                    ok &= evidence(lower(as_bytes(part.column("text"))), shared.value["seen"], median) >= part_of_median * median
-                yield part.filter(pa.array(ok)).select(cols)
+                if shared.value is None:
+                    yield part.filter(pa.array(ok)).select(cols)
+                    continue
+                texts = lower(as_bytes(part.column("text")))
+                median = shared.value["median"]
+                ok &= evidence(texts, shared.value["seen"], median) >= part_of_median * median
+                part = part.filter(pa.array(ok)).select(cols)
+                if part.num_rows and named is not None:
+                    lang, _ = _document_languages([t for t, k in zip(texts, ok) if k], [True] * part.num_rows, shared.value)
+                    part = part.set_column(named, part.schema.field(named), pa.array(lang, part.schema.field(named).type))
+                yield part
 
     rows = docs.select("*", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))
     return rows.mapInArrow(tidy(run), docs.schema)

@@ -8,8 +8,10 @@ import statistics
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from shopstream.llm import mixing
+from shopstream.llm import langid, mixing
 from shopstream.llm.queries import LLM_QUERIES
 from .test_decontamination import _brute as contaminated
 from .test_parity_join import _brute as components
@@ -97,3 +99,18 @@ def test_what_language_id_drops_is_in_no_token_file(spark, sample_docs, tmp_path
     without = ids()
     assert not {i for i in with_stage if i >= 10 ** 6} and len(with_stage) > 50
     assert len({i for i in without if i >= 10 ** 6}) >= 5  # as many as the mix takes of them
+
+
+def test_language_id_names_the_language_of_every_text(spark, sample_docs):
+    """Each text that stays has the language that op6's labels give it, whatever language it came with."""
+    wrong = sample_docs.withColumn("lang", F.expr("CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1 "
+                                                  "THEN if(doc_id % 2 = 0, 'xx', null) ELSE lang END"))
+    found = {r.doc_id: r.lang_pred for r in langid.detect(wrong, langid.train(wrong)).collect()}
+    got = corpus_pipeline.language_id(spark, wrong, SF)
+    assert got.schema == wrong.schema
+    rows = {r.doc_id: r for r in got.collect()}
+    assert {i: r.lang for i, r in rows.items()} == {i: found[i] for i in rows}
+    given = {r.doc_id: r for r in sample_docs.collect()}
+    held = [r for i, r in rows.items() if zlib.crc32(str(i).encode()) % 3 == 1 and given[i].lang]
+    assert len(held) > 30 and sum(r.lang == given[r.doc_id].lang for r in held) > 0.95 * len(held)
+    assert all(r[c] == given[i][c] for i, r in rows.items() for c in sample_docs.columns if c != "lang")
