@@ -4,6 +4,7 @@ import hashlib
 from collections import defaultdict
 
 from shopstream.llm import mixing
+from shopstream.llm.queries import LLM_QUERIES
 
 
 def _level(sizes, weights=mixing.WEIGHTS, most=3):
@@ -127,3 +128,34 @@ def test_taken_words_come_from_positions(make_docs):
     when = sorted((p, hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id)
                   for r in mixing.training_positions(docs).collect() for p in r.positions)
     assert order == [w[2] for w in when]
+
+
+def test_the_query_counts_in_the_mix(spark, make_docs, tmp_path, monkeypatch):
+    """op2_mixing makes the whole mix, texts in training order, and counts its rows."""
+    rows = [(i, "w " * (i % 11), "en", "abcd"[i % 4]) for i in range(300)]
+    rows += [(7, "w w w w", "en", "b"), (7, "v v v v", "en", "b"), (500, None, "en", "a"), (501, "x", None, None), (None, "y z", "en", "c"),
+             (None, "y z", "en", "c"), (600, "", "en", "none")]
+    docs = make_docs(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    made = {}
+    table = mixing.Scratch.table
+
+    def kept(self, df, name, *a, **b):
+        made[name] = table(self, df, name, *a, **b)
+        return made[name]
+    monkeypatch.setattr(mixing.Scratch, "table", kept)
+    got = [tuple(r) for r in LLM_QUERIES["op2_mixing"](spark, str(tmp_path)).collect()]
+    monkeypatch.undo()
+    # The mix has every column of the documents, copies by position.
+    assert made["mix"].columns == docs.columns
+    order = [(r.doc_id, r.source) for r in made["mix"].collect()]
+    assert [r[0] for r in order] == [r.doc_id for r in mixing.mix_documents(docs).collect()]
+    n_rows, n_mix = defaultdict(int), defaultdict(int)
+    for i, _, _, source in rows:
+        n_rows[i, source] += 1
+    for key in order:
+        n_mix[key] += 1
+    assert sum(n_mix.values()) == sum(r[5] for r in got) and len(got) == len(rows)
+    assert sorted(got, key=str) == sorted((tuple(r) for r in mixing.taken_words(docs).collect()), key=str)
+    for i, _, _, source in rows:
+        assert n_mix[i, source] % n_rows[i, source] == 0
