@@ -288,3 +288,36 @@ def test_an_equal_passage_in_the_range_of_a_fuzzy_one(make_docs):
     rows = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(whole))]
     got = {(r.doc_id, r.other_id): (r.begin, r.end, r.identity) for r in _rows(make_docs(rows))}
     assert got[3, 1][:2] == (0, 160) and got[3, 2] == (50, 110, 1.0)
+
+
+def _link_rows(docs, scratch):
+    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").selectExpr("cast(doc_id AS long) AS doc_id", "hash(text) AS th", "text")
+    seeds = scratch.table(texts.mapInArrow(ps._seeds(ps.MIN_WORDS), ps.SEED_SCHEMA), "seeds")
+    links = ps._dealt(seeds, scratch).repartition("seed", "bucket").sortWithinPartitions("seed", "bucket", "doc_id", "th", "pos") \
+        .mapInArrow(ps._links, ps.LINK_SCHEMA)
+    return sorted(tuple(r) for r in links.collect())
+
+
+def test_links_of_common_seeds_are_those_of_the_whole_group(spark, make_docs, monkeypatch):
+    """Buckets change no link, whatever is around the seeds, and no passage is lost at the begin of a bucket."""
+    rng = random.Random(12)
+    p, beside_ = _text(rng, 70), [_text(rng, 30) for _ in range(5)]
+    rows = []
+    for i in range(300):
+        head, tail = rng.choice(beside_) if i % 3 else _text(rng, 20), rng.choice(beside_) if i % 4 else _text(rng, 20)
+        body = p * (3 if i % 17 == 0 else 1) if i % 2 else _text(rng, 60)
+        rows.append((i % 280, " ".join(_text(rng, 10) + head + body + tail)))  # some share an id
+    rows += [(400, "same " * 300), (401, "same " * 200), (402, "same " * 400), *rows[:5]]
+    docs = make_docs(rows)
+    whole = _link_rows(docs, ps.Scratch(spark, "whole"))
+    passages = sorted(map(tuple, _rows(docs)))
+    monkeypatch.setattr(ps, "SAMPLE", 2)
+    monkeypatch.setattr(ps, "COMMON", 4)
+    for bucket in (4, 16):
+        monkeypatch.setattr(ps, "BUCKET", bucket)
+        scratch = ps.Scratch(spark, "dealt")
+        assert _link_rows(docs, scratch) == whole
+        assert spark.read.parquet(f"{scratch.root}/002-common").selectExpr("max(size(bounds))").first()[0] > 100 // bucket
+    assert sorted(map(tuple, _rows(docs))) == passages
+    found = {r[0] for r in passages}
+    assert {i for i in range(3, 280, 2)} <= found  # 1 is the first
